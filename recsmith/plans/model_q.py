@@ -1 +1,88 @@
-"""Registered queries."""
+"""Registered queries: ALS.
+
+SQL cannot run ALS, so these have no oracle; pytest checks their
+invariants (sizes, order, prediction = factor dot product, repeatability).
+Input: the export of active users' ratings (E1), as in the reference.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import evaluate as E, model as M, ratings as R
+from ..sources import tables as T
+from .ratings_q import MIN_ROWS, PER_USER
+from .registry import query
+
+RANK = 10
+SEED = 42
+
+
+def als_input(spark, d):
+    return R.to_als_ratings(R.export_ratings(T.ratings_base(spark, d), MIN_ROWS, PER_USER))
+
+
+def _fit(spark, d, rank=RANK):
+    return M.als_fit(als_input(spark, d), rank=rank, seed=SEED)
+
+
+@query("als_fit")
+def q_als_fit(spark, d):
+    return M.item_factors(_fit(spark, d))
+
+
+@query("als_predict")
+def q_als_predict(spark, d):
+    data = als_input(spark, d)
+    train, test = R.split_ratings(data, user_col="userId", item_col="movieId")
+    return M.als_predict(M.als_fit(train, RANK, SEED), test)
+
+
+@query("als_user_recs")
+def q_als_user_recs(spark, d):
+    return M.als_user_recs(_fit(spark, d), M.USER_RECS)
+
+
+@query("rec_ids")
+def q_rec_ids(spark, d):
+    return M.rec_ids(_fit(spark, d).recommendForAllUsers(5))
+
+
+@query("als_subset_recs")
+def q_als_subset_recs(spark, d):
+    data = als_input(spark, d)
+    train, test = R.split_ratings(data, user_col="userId", item_col="movieId")
+    return M.als_subset_recs(M.als_fit(train, RANK, SEED), test, 10)
+
+
+@query("als_item_audience")
+def q_als_item_audience(spark, d):
+    return M.als_item_audience(_fit(spark, d), 10)
+
+
+@query("als_similar_items")
+def q_als_similar_items(spark, d):
+    return M.als_similar_items(_fit(spark, d), M.ITEM_RECS)
+
+
+@query("recommend_run")
+def q_recommend_run(spark, d):
+    users, items = M.recommend_run(als_input(spark, d), rank=RANK, seed=SEED)
+    return (users.select(F.lit("user").alias("kind"), F.col("user_id").alias("key"), F.col("item_ids").alias("ids"))
+            .unionByName(items.select(F.lit("item").alias("kind"), F.col("item_id").alias("key"),
+                                      F.col("neighbour_ids").alias("ids"))))
+
+
+@query("als_precision_recall")
+def q_als_precision_recall(spark, d):
+    return M.evaluate_als(als_input(spark, d), rank=M.EVAL_RANK, ks=E.K_GRID, seed=SEED)
+
+
+@query("rank_grid")
+def q_rank_grid(spark, d):
+    return M.rank_grid(als_input(spark, d), ranks=(5, 10), splits=2, seed=SEED)
+
+
+@query("best_rank")
+def q_best_rank(spark, d):
+    return M.best_rank(M.rank_grid(als_input(spark, d), ranks=(5, 10), splits=2, seed=SEED))

@@ -29,6 +29,7 @@ def local_session(cpus: int | str = 8, app: str = "recsmith", extra: dict | None
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
     )
     for k, v in (extra or {}).items():

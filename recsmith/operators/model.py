@@ -26,6 +26,7 @@ USER_RECS = 20
 ITEM_RECS = 10
 RANK_GRID = (5, 10, 15, 20, 25)
 GRID_SPLITS = 5
+MAX_BLOCKS = 200
 
 
 def als(rank: int = MAIN_RANK, max_iter: int = MAX_ITER, reg_param: float = REG_PARAM, seed: int = 42,
@@ -49,10 +50,19 @@ def als_fit(ratings: DataFrame, rank: int = MAIN_RANK, seed: int = 42, max_iter:
             reg_param: float = REG_PARAM, n_blocks: int | None = None) -> ALSModel:
     """H1: fit on (userId, movieId, rating). The shared checkpoint folder
     is registered so that ALS can cut its lineage on long runs."""
-    scratch_dir(ratings.sparkSession)
+    spark = ratings.sparkSession
+    scratch_dir(spark)
+    if n_blocks is None:
+        n_blocks = default_blocks(spark)
     return als(rank, max_iter, reg_param, seed, n_blocks).fit(ratings)
 
 
+def default_blocks(spark) -> int:
+    """ALS user/item blocks: one per task slot, capped (the factor exchange
+    between blocks grows with the block count)."""
+    return max(1, min(spark.sparkContext.defaultParallelism, MAX_BLOCKS))
+
+
 def item_factors(model: ALSModel) -> DataFrame:
     """H3: (id, features) per item, distributed."""
     return model.itemFactors

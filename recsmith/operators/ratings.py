@@ -99,10 +99,14 @@ def export_ratings(ratings: DataFrame, min_rows: int = ACTIVE_MIN_ROWS, per_user
     active = active_users(ratings, min_rows, user_col).select(user_col)
     if max_users is not None:
         active = limit_users(active, max_users, user_col)
-    rated = rated_only(ratings, score_col).join(active, user_col, "left_semi")
+    rated = rated_only(ratings, score_col)
     if items is not None:
         rated = attach_item_ids(rated, items)
-    picked = per_key_first_n(rated, [user_col], [F.col(item_col)], per_user)
+    # The per-user limit goes first: its map-side WindowGroupLimit cuts a
+    # hot user to ``per_user`` rows per partition before any shuffle, and
+    # the semi-join then sees at most ``per_user`` rows per user. (Filtering
+    # whole users commutes with a per-user limit.)
+    picked = per_key_first_n(rated, [user_col], [F.col(item_col)], per_user).join(active, user_col, "left_semi")
     return picked.select(F.col(user_col).alias("user_id"), F.col(item_col).alias("item_id"),
                          F.col(score_col).alias("score"))
 

@@ -157,3 +157,17 @@ def q_split_ratings(spark, d):
             .select(F.lit(tag).alias("part"), "n_rows", "sum_score")
 
     return summary(train, "train").unionByName(summary(test, "test"))
+
+
+@query("validate_schema", with_(RATINGS_FACTS) + """
+SELECT count(*) FILTER (WHERE item_name IS NULL) AS item_name_nulls,
+       count(*) FILTER (WHERE summary IS NULL) AS summary_nulls,
+       count(*) FILTER (WHERE user_id IS NULL) AS user_id_nulls,
+       count(*) FILTER (WHERE user_name IS NULL) AS user_name_nulls,
+       count(*) FILTER (WHERE score IS NULL) AS score_nulls,
+       count(*) FILTER (WHERE item_url IS NULL) AS item_url_nulls,
+       count(*) AS n_rows
+FROM ratings_facts""")
+def q_validate_schema(spark, d):
+    from ..schemas import RATINGS, null_violations
+    return null_violations(T.ratings_facts(spark, d), RATINGS)

@@ -86,3 +86,12 @@ def test_snapshot_round_trip(spark, tmp_path):
     p2 = S.upsert_snapshot(spark, p1, spark.createDataFrame([(2, [2])], "user_id int, item_ids array<int>"),
                            "user_id", str(tmp_path))
     assert p1 != p2 and spark.read.parquet(p2).count() == 2 and spark.read.parquet(p1).count() == 1
+
+
+def test_null_violations_and_conform(spark):
+    from recsmith.schemas import USERS, conform, null_violations
+    df = spark.createDataFrame([(1, "a", 3, "h"), (2, None, 1, "h"), (None, "c", 0, "h")],
+                               "user_id int, name string, declared_total int, home_url string")
+    r = null_violations(df, USERS).first()
+    assert (r.user_id_nulls, r.name_nulls, r.declared_total_nulls, r.n_rows) == (1, 1, 0, 3)
+    assert conform(df, USERS).count() == 1

@@ -173,7 +173,7 @@ sk AS (SELECT k.name, (coalesce(c.n_all, 0) >= k.declared_total) OR (coalesce(c.
 @query("page_worklist", with_(RATINGS_FACTS, USERS, PROFILES) + f"""
 , prof AS ({PROFILE_SQL.strip()}),
 {STATUS_CTES}
-SELECT name, page, 15 * page AS start,
+SELECT name, CAST(page AS INTEGER) AS page, CAST(15 * page AS INTEGER) AS start,
        home_url || 'start=' || CAST(15 * page AS VARCHAR) || '&sort=time&ratind=all&filter=all&mode=gird' AS url
 FROM (SELECT p.user_name AS name, u.home_url, unnest(range(p.page_count)) AS page
       FROM prof p JOIN users u ON p.user_name = u.name

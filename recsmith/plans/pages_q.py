@@ -69,9 +69,9 @@ hpages AS (
 
 
 def _blocks_sql(src: str, marker: str) -> str:
-    return f"""blk AS (
+    return f"""blk AS (SELECT page_id, CAST(pos AS INTEGER) AS pos, block FROM (
   SELECT page_id, unnest(range(len(parts) - 1)) AS pos, unnest(parts[2:]) AS block
-  FROM (SELECT page_id, string_split(html, '{marker}') AS parts FROM {src}))"""
+  FROM (SELECT page_id, string_split(html, '{marker}') AS parts FROM {src})))"""
 
 
 # --- J1 ---------------------------------------------------------------------------------

@@ -62,8 +62,8 @@ def q_encode_id_list(spark, d):
 
 
 @query("decode_id_list", with_(RATING_EVENTS, NEW_U) + """
-SELECT user_id, ids AS item_ids, len(ids) AS n FROM new_u
-UNION ALL SELECT -1 AS user_id, CAST([] AS INTEGER[]) AS item_ids, 0 AS n""")
+SELECT user_id, ids AS item_ids, CAST(len(ids) AS INTEGER) AS n FROM new_u
+UNION ALL SELECT -1 AS user_id, CAST([] AS INTEGER[]) AS item_ids, CAST(0 AS INTEGER) AS n""")
 def q_decode_id_list(spark, d):
     text = user_lists(spark, d, "new").select("user_id", C.encode_id_list("item_ids").alias("t"))
     empty = spark.range(1).select(F.lit(-1).alias("user_id"), F.lit("[]").alias("t"))

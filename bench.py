@@ -20,6 +20,7 @@ from recsmith.plans import registry  # noqa: E402
 from recsmith.session import local_session  # noqa: E402
 
 HEADLINE = [
+    "recommend_titles",
     "export_ratings",
     "precision_recall_curve",
     "similar_items",

@@ -96,7 +96,13 @@ def export_ratings(ratings: DataFrame, min_rows: int = ACTIVE_MIN_ROWS, per_user
     D1 (semi-join) -> B2 -> per-user first n by item -> optional C1 by URL.
     Output: (user_id, item_id, score).
     """
-    active = active_users(ratings, min_rows, user_col).select(user_col)
+    # Count every row (unrated ones too, as D1 does) through a predicate on
+    # the score that is always true: the count branch then reads the same
+    # columns as the rated-rows branch, the two subtrees are identical and
+    # AQE reuses one shuffle stage for both instead of scanning twice.
+    every_row = F.col(score_col).isNotNull() | F.col(score_col).isNull()
+    active = (ratings.groupBy(user_col).agg(F.count_if(every_row).alias("n_rows"))
+              .filter(F.col("n_rows") > F.lit(min_rows)).select(user_col))
     if max_users is not None:
         active = limit_users(active, max_users, user_col)
     rated = rated_only(ratings, score_col)

@@ -86,3 +86,16 @@ def q_rank_grid(spark, d):
 @query("best_rank")
 def q_best_rank(spark, d):
     return M.best_rank(M.rank_grid(als_input(spark, d), ranks=(5, 10), splits=2, seed=SEED))
+
+
+def recommend_titles(spark, d, n: int = 10, rank: int = RANK):
+    """The headline flow: export of active users' ratings -> ALS -> top-n
+    items per user -> titles. Output (user_id, pos, item_id, title)."""
+    from ..operators import serve as V
+    user_recs = M.als_user_recs(_fit(spark, d, rank), n)
+    return V.rec_titles(user_recs, T.items_table(spark, d))
+
+
+@query("recommend_titles")
+def q_recommend_titles(spark, d):
+    return recommend_titles(spark, d)

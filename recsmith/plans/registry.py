@@ -12,7 +12,7 @@ QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
 
 # The query entry() runs.
-FLAGSHIP = "export_ratings"
+FLAGSHIP = "recommend_titles"
 
 
 def query(name: str, sql: str | None = None):

@@ -67,5 +67,5 @@ def test_stream_ingest_is_incremental(spark, tmp_path):
 def test_entry_contract(spark):
     import __spark_entry__ as E
     df = E.entry(spark)
-    assert df.count() >= 0 and df.columns == ["user_id", "item_id", "score"]
+    assert df.count() > 0 and df.columns == ["user_id", "pos", "item_id", "title"]
     assert set(E.oracle_sql()) <= set(E.queries())

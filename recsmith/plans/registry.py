@@ -32,4 +32,4 @@ def query(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from . import ratings_q, ingest_q, evaluation_q, similarity_q, model_q, pages_q, serving_q, streaming_q  # noqa: F401
+    from . import ratings_q, ingest_q, evaluation_q, similarity_q, model_q, pages_q, serving_q, streaming_q, crawl_q  # noqa: F401,E501

@@ -44,8 +44,13 @@ def collection_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("item_url"), F.lit('"><em>'), F.col("name"), F.lit('</em></a><ul><li class="intro">'),
         F.col("summary"), F.lit("</li><li>"), rating, F.lit("</li></ul></div></div>"))
     pages = _page_per_order(rows, snippet)
-    return pages.select("page_id", F.concat(F.lit('<div class="article">'), F.col("body"),
-                                            F.lit("</div>")).alias("html"))
+    owners = (T.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+              .join(T.table(spark, sf_dir, "customer").select("c_custkey", "c_name"),
+                    F.col("o_custkey") == F.col("c_custkey"))
+              .select(F.col("o_orderkey").alias("page_id"), F.col("c_name").alias("user_name")))
+    return pages.join(owners, "page_id").select(
+        "page_id", F.concat(F.lit('<div class="article">'), F.col("body"), F.lit("</div>")).alias("html"),
+        "user_name")
 
 
 def comment_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,8 +84,9 @@ def profile_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     html = F.concat(F.lit('<div class="info"><h1>'), F.col("c_name"), F.lit(" watched ("),
                     F.col("n_all").cast("string"), F.lit(')</h1></div><div class="side-info-txt"><h3>'),
                     F.col("c_name"), F.lit("</h3></div>"), pag)
+    home = F.concat(F.lit(T.USER_URL_PREFIX), F.col("c_custkey").cast("string"), F.lit("/collect?"))
     return c.join(u, F.col("c_custkey") == F.col("user_id")).select(F.col("c_custkey").alias("page_id"),
-                                                                   html.alias("html"))
+                                                                   html.alias("html"), home.alias("url"))
 
 
 def home_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,3 +102,19 @@ def home_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     html = F.when(F.col("c_acctbal") >= 0, section).otherwise(F.lit("<div id=\"book\"></div>"))
     return c.join(u, F.col("c_custkey") == F.col("user_id")).select(F.col("c_custkey").alias("page_id"),
                                                                    html.alias("html"))
+
+
+def supplier_home_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One home page per supplier (the commenters of ``comment_pages``),
+    addressed by the commenter link; suppliers with a negative balance
+    have no collection section."""
+    s = T.table(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal")
+    n = T.table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n_lines"))
+    url = F.concat(F.lit(T.USER_URL_PREFIX), F.col("s_suppkey").cast("string"), F.lit("/"))
+    section = F.concat(
+        F.lit('<div id="movie"><span class="pl"><a href="'), url, F.lit('wish">'),
+        (F.col("n_lines") * 20).cast("string"), F.lit(' wished</a></span><span class="pl"><a href="'), url,
+        F.lit('collect">'), ((F.col("n_lines") * 3) / 2).cast("long").cast("string"), F.lit(" watched</a></span></div>"))
+    html = F.when(F.col("s_acctbal") >= 0, section).otherwise(F.lit('<div id="book"></div>'))
+    return s.join(n, F.col("s_suppkey") == F.col("l_suppkey")).select(
+        F.col("s_suppkey").alias("page_id"), url.alias("url"), html.alias("html"))

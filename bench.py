@@ -44,7 +44,11 @@ def main() -> None:
     only = [a for a in sys.argv[1:]]
     spark = local_session(cpus, app="recsmith-bench")
     registry.load_all()
-    spark.range(1000).selectExpr("sum(id)").collect()  # JVM warm-up
+    # Warm-up (not timed): JVM code paths and the Python workers that the
+    # pandas-based operators reuse.
+    spark.range(1000).selectExpr("sum(id)").collect()
+    spark.range(0, 10_000, 1, int(cpus)).mapInPandas(lambda it: it, "id long").write.format("noop") \
+        .mode("overwrite").save()
     times = {}
     for name in HEADLINE:
         if only and name not in only:

@@ -146,3 +146,131 @@ def ingest_pages(pages: DataFrame, n_partitions: int | None = None, name_pattern
               .when(F.col("declared_total").isNull(), F.lit("no_total"))
               .otherwise(F.lit("ok")))
     return prof.withColumn("status", status)
+
+
+# --- J1 fallback: a small stdlib HTML parser per page, in Arrow batches ----------------------------------
+
+_VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
+
+
+class _ItemParser:
+    """Collects items of a collection page by class names, not by exact
+    markup: ``.item`` blocks, the first link and the ``em`` text inside
+    ``.info``, the ``.intro`` text and the first ``rating<d>-t`` class."""
+
+    def __init__(self):
+        import re
+        from html.parser import HTMLParser
+
+        outer = self
+        self.rating = re.compile(X.RATING_PATTERN)
+
+        class P(HTMLParser):
+            def handle_starttag(self, tag, attrs):
+                outer.start(tag, dict(attrs))
+
+            def handle_startendtag(self, tag, attrs):
+                outer.start(tag, dict(attrs))
+                outer.end(tag)
+
+            def handle_endtag(self, tag):
+                outer.end(tag)
+
+            def handle_data(self, data):
+                outer.data(data)
+
+        self.parser = P(convert_charrefs=True)
+
+    def parse(self, html: str):
+        self.stack, self.items, self.cur = [], [], None
+        self.parser.reset()
+        self.parser.feed(html or "")
+        self.parser.close()
+        if self.cur is not None:
+            self.items.append(self.cur)
+        return self.items
+
+    def _classes(self):
+        return [c for _, cls in self.stack for c in cls]
+
+    def start(self, tag, attrs):
+        cls = (attrs.get("class") or "").split()
+        if "item" in cls:
+            if self.cur is not None:
+                self.items.append(self.cur)
+            self.cur = {"depth": len(self.stack), "title": None, "url": None, "summary": None, "score": None,
+                        "in_em": False, "in_intro": False}
+        if self.cur is not None:
+            if self.cur["score"] is None:
+                m = self.rating.search(attrs.get("class") or "")
+                if m:
+                    self.cur["score"] = int(m.group(1))
+            inside_info = "info" in self._classes() or "info" in cls
+            if inside_info and tag == "a" and self.cur["url"] is None:
+                self.cur["url"] = attrs.get("href") or ""
+            if inside_info and tag == "em" and self.cur["title"] is None:
+                self.cur["in_em"], self.cur["title"] = True, ""
+            if "intro" in cls and self.cur["summary"] is None:
+                self.cur["in_intro"], self.cur["summary"] = True, ""
+        if tag not in _VOID:
+            self.stack.append((tag, cls))
+
+    def end(self, tag):
+        if tag in _VOID:
+            return
+        while self.stack:
+            t, cls = self.stack.pop()
+            if self.cur is not None:
+                if t == "em":
+                    self.cur["in_em"] = False
+                if "intro" in cls:
+                    self.cur["in_intro"] = False
+                if len(self.stack) <= self.cur["depth"]:
+                    self.items.append(self.cur)
+                    self.cur = None
+            if t == tag:
+                break
+
+    def data(self, text):
+        if self.cur is not None:
+            if self.cur["in_em"]:
+                self.cur["title"] += text
+            if self.cur["in_intro"]:
+                self.cur["summary"] += text
+
+
+def extract_items_parsed(pages: DataFrame, keep=("page_id",)) -> DataFrame:
+    """J1 by an HTML parser instead of fixed markers: same output as
+    ``extract_items`` (keep..., pos, title, item_url, summary, score).
+
+    Runs per page inside ``mapInPandas`` (Arrow batches); use it where the
+    markup varies too much for the marker form."""
+    import pandas as pd
+    from pyspark.sql import types as T
+
+    keep = list(keep)
+    fields = [pages.schema[c] for c in keep] + [
+        T.StructField("pos", T.IntegerType()), T.StructField("title", T.StringType()),
+        T.StructField("item_url", T.StringType()), T.StructField("summary", T.StringType()),
+        T.StructField("score", T.IntegerType())]
+    schema = T.StructType(fields)
+
+    def run(batches):
+        parser = _ItemParser()
+        for pdf in batches:
+            out = {c: [] for c in schema.fieldNames()}
+            for row in pdf.itertuples(index=False):
+                for pos, it in enumerate(parser.parse(row.html)):
+                    for c in keep:
+                        out[c].append(getattr(row, c))
+                    out["pos"].append(pos)
+                    out["title"].append((it["title"] or "").strip())
+                    out["item_url"].append((it["url"] or "").strip())
+                    out["summary"].append((it["summary"] or "").strip())
+                    out["score"].append(it["score"] or 0)
+            frame = pd.DataFrame(out)
+            frame["pos"] = frame["pos"].astype("int32")
+            frame["score"] = frame["score"].astype("int32")
+            yield frame
+
+    return pages.select(*keep, "html").mapInPandas(run, schema)

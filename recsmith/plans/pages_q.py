@@ -76,13 +76,16 @@ def _blocks_sql(src: str, marker: str) -> str:
 
 # --- J1 ---------------------------------------------------------------------------------
 
-@query("extract_items", with_(COLLECTION, _blocks_sql("cpages", P.ITEM_MARKER)) + r"""
+ORACLE_EXTRACT_ITEMS = with_(COLLECTION, _blocks_sql("cpages", P.ITEM_MARKER)) + r"""
 SELECT page_id, pos,
   trim(regexp_extract(block, '<div class="info">[\s\S]*?<em>([\s\S]*?)</em>', 1)) AS title,
   trim(regexp_extract(block, '<div class="info">[\s\S]*?<a href="([^"]*)"', 1)) AS item_url,
   trim(regexp_extract(block, '<li class="intro">([\s\S]*?)</li>', 1)) AS summary,
   coalesce(TRY_CAST(nullif(regexp_extract(block, 'rating(\d+)-t', 1), '') AS INT), 0) AS score
-FROM blk""")
+FROM blk"""
+
+
+@query("extract_items", ORACLE_EXTRACT_ITEMS)
 def q_extract_items(spark, d):
     return P.extract_items(M.collection_pages(spark, d))
 
@@ -265,3 +268,9 @@ def q_page_url(spark, d):
     base = F.concat(F.lit(UP), F.col("page_id").cast("string"), F.lit("/collect?"))
     return prof.select("page_id", base.alias("base"), F.explode(X.page_offsets("page_count")).alias("start")) \
         .select("page_id", X.page_url(F.col("base"), F.col("start")).alias("url"))
+
+
+@query("extract_items_parsed", ORACLE_EXTRACT_ITEMS)
+def q_extract_items_parsed(spark, d):
+    # The parser form of J1 must give exactly what the marker form gives.
+    return P.extract_items_parsed(M.collection_pages(spark, d))

@@ -54,3 +54,28 @@ def test_ingest_status(spark):
     df = pages(spark, PROFILE, "<html></html>", '<div class="side-info-txt"><h3>Z</h3></div>')
     got = {r.page_id: r.status for r in P.ingest_pages(df).collect()}
     assert got == {0: "ok", 1: "no_name", 2: "no_total"}
+
+
+VARIANT = (
+    '<div class="article">\n'
+    '  <div class="item  odd" data-x="1">\n'
+    '    <div class="pic"><a title="T1" class="nbg" href="U1"><img src="p.jpg"></a></div>\n'
+    '    <div class="info big">\n'
+    '      <a class="t" href="U1"><em>T1 &amp; more</em></a>\n'
+    '      <ul><li class="intro main">S1</li><li><span class="date rating5-t"></span></li></ul>\n'
+    '    </div>\n'
+    '  </div>\n'
+    '  <div class="item"><div class="info"><a href="U2"><em>T2</em></a></div></div>\n'
+    '</div>')
+
+
+def test_parser_matches_markers_on_canonical_markup(spark):
+    df = pages(spark, COLLECTION)
+    a = sorted(tuple(r) for r in P.extract_items(df).collect())
+    b = sorted(tuple(r) for r in P.extract_items_parsed(df).collect())
+    assert a == b
+
+
+def test_parser_handles_markup_variants(spark):
+    got = [tuple(r) for r in P.extract_items_parsed(pages(spark, VARIANT)).orderBy("pos").collect()]
+    assert got == [(0, 0, "T1 & more", "U1", "S1", 5), (0, 1, "T2", "U2", "", 0)]

@@ -125,13 +125,30 @@ def q_serve_similar(spark, d):
     return V.serve_similar(requests, lists, T.items_table(spark, d), n=3)
 
 
-@query("sample_user_recs")
+ALL_U = lists_sql("all_u", "user_id", "item_id", "TRUE")
+MIX = f"(CAST(user_id AS BIGINT) * {V._MIX_USER} + {{d}} * {V._MIX_DRAW} + {7 * V._MIX_SEED}) % {V._MIX_MOD}"
+
+
+@query("sample_user_recs", with_(RATING_EVENTS, ALL_U) + f"""
+SELECT user_id, CAST(draw AS INT) AS draw, ids[1 + CAST({MIX.format(d='draw')} % len(ids) AS INT)] AS item_id
+FROM (SELECT user_id, ids, unnest(range(1, 4)) AS draw FROM all_u WHERE len(ids) >= 3)""")
 def q_sample_user_recs(spark, d):
     lists = user_lists(spark, d)
     requests = lists.select("user_id", F.lit(3).alias("n"))
     return V.sample_user_recs(requests, lists, seed=7)
 
 
+@query("sample_user_recs_distinct", with_(RATING_EVENTS, ALL_U) + f"""
+SELECT user_id, CAST(draw AS INT) AS draw, item_id FROM (
+  SELECT user_id, item_id, row_number() OVER (PARTITION BY user_id ORDER BY {MIX.format(d='i')}, i) AS draw
+  FROM (SELECT user_id, unnest(ids) AS item_id, unnest(range(1, len(ids) + 1)) AS i FROM all_u WHERE len(ids) >= 3))
+WHERE draw <= 3""")
+def q_sample_user_recs_distinct(spark, d):
+    lists = user_lists(spark, d)
+    requests = lists.select("user_id", F.lit(3).alias("n"))
+    return V.sample_user_recs(requests, lists, seed=7, replace=False)
+
+
 @query("format_ratings_text", with_(RATING_EVENTS) + """
 SELECT concat_ws('::', CAST(user_id AS VARCHAR), CAST(item_id AS VARCHAR), CAST(score AS VARCHAR)) AS value
 FROM rating_events WHERE score > 0""")

@@ -99,3 +99,14 @@ def recommend_titles(spark, d, n: int = 10, rank: int = RANK):
 @query("recommend_titles")
 def q_recommend_titles(spark, d):
     return recommend_titles(spark, d)
+
+
+@query("refresh_recommendations")
+def q_refresh_recommendations(spark, d):
+    """Stored user lists after a refresh, in the stored text form."""
+    from ..functions.codec import encode_id_list
+    from ..session import scratch_path
+    from .recommend import refresh_recommendations
+    paths = refresh_recommendations(spark, als_input(spark, d), scratch_path(spark, "recs-store"), rank=RANK,
+                                    seed=SEED)
+    return spark.read.parquet(paths["user_recs"]).select("user_id", encode_id_list("item_ids").alias("item_ids"))

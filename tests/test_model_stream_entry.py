@@ -69,3 +69,18 @@ def test_entry_contract(spark):
     df = E.entry(spark)
     assert df.count() > 0 and df.columns == ["user_id", "pos", "item_id", "title"]
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_refresh_recommendations_upserts(spark, tmp_path):
+    from recsmith.plans.recommend import refresh_recommendations
+    data = als_data(spark)
+    first = refresh_recommendations(spark, data, str(tmp_path), rank=4, user_n=5, item_n=3, seed=3)
+    part = data.filter(F.col("userId") % 2 == 0)
+    second = refresh_recommendations(spark, part, str(tmp_path), first["user_recs"], first["item_recs"],
+                                     rank=4, user_n=5, item_n=3, seed=3)
+    u1 = spark.read.parquet(first["user_recs"])
+    u2 = spark.read.parquet(second["user_recs"])
+    assert u2.groupBy("user_id").count().filter("count > 1").count() == 0
+    assert u2.count() == u1.count()          # untouched users stay
+    i2 = spark.read.parquet(second["item_recs"])
+    assert i2.filter(F.size("neighbour_ids") > 3).count() == 0

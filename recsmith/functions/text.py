@@ -17,6 +17,7 @@ PAGE_STEP = 15          # items per collection page
 SEED_PAGE_STEP = 20     # comments per comment page
 SEED_PAGES = 10         # comment pages read per seed item
 PAGE_QUERY = (("sort", "time"), ("ratind", "all"), ("filter", "all"), ("mode", "gird"))
+COMMENT_QUERY = (("limit", "20"), ("sort", "new_score"), ("status", "P"))
 
 
 def _c(c) -> Column:
@@ -88,6 +89,12 @@ def page_offsets(n_pages, step: int = PAGE_STEP, inclusive: bool = False) -> Col
     return F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: i * step)
 
 
+def comment_page_url(subject_url, start) -> Column:
+    """Comment page address of an item: ``<item url>comments?start=…&limit=20…``."""
+    tail = "".join(f"&{k}={v}" for k, v in COMMENT_QUERY)
+    return F.concat(_c(subject_url), F.lit("comments?start="), _c(start).cast("string"), F.lit(tail))
+
+
 def normalise_name(c) -> Column:
     """Blanks in a display name become '-'."""
     return F.translate(_c(c), " ", "-")

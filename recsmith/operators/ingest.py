@@ -116,3 +116,12 @@ def page_worklist(profiles: DataFrame, status: DataFrame | None = None, key_col:
     pages = todo.select(key_col, base_col, F.posexplode(X.page_offsets(pages_col, step, inclusive))
                         .alias("page", "start"))
     return pages.select(key_col, "page", "start", X.page_url(F.col(base_col), F.col("start")).alias("url"))
+
+
+def seed_page_worklist(items: DataFrame, url_col: str = "item_url", key_col: str = "item_id",
+                       pages: int = X.SEED_PAGES, step: int = X.SEED_PAGE_STEP) -> DataFrame:
+    """K2 for seed discovery: the first ``pages`` comment pages of every
+    item (offsets ``step * i``), as (key, page, url)."""
+    offs = F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(pages - 1)), lambda i: i * step))
+    return items.select(key_col, url_col, offs.alias("page", "start")).select(
+        key_col, "page", X.comment_page_url(F.col(url_col), F.col("start")).alias("url"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators import ingest as I, pages as P
 from ..sources import markup as M, store as S, tables as T, text as TX
-from .oracle import RATINGS_FACTS, STORED, USERS, with_
+from .oracle import ITEMS, RATINGS_FACTS, STORED, USERS, with_
 from .pages_q import PROFILES, PROFILE_SQL
 from .registry import query
 
@@ -235,3 +235,11 @@ def q_parse_seed_list(spark, d):
                                           F.translate("name", "#", "-").alias("user_name")))
     noisy = lines.select(F.concat(F.lit("  "), F.regexp_replace("value", " ", "   "), F.lit(" ")).alias("value"))
     return TX.parse_seed_lines(lines.unionByName(noisy))
+
+
+@query("seed_page_worklist", with_(ITEMS) + """
+SELECT item_id, CAST(page AS INTEGER) AS page,
+       item_url || 'comments?start=' || CAST(20 * page AS VARCHAR) || '&limit=20&sort=new_score&status=P' AS url
+FROM (SELECT item_id, item_url, unnest(range(10)) AS page FROM items)""")
+def q_seed_page_worklist(spark, d):
+    return I.seed_page_worklist(T.items_table(spark, d))

@@ -90,9 +90,6 @@ def q_extract_items(spark, d):
     return P.extract_items(M.collection_pages(spark, d))
 
 
-NAV_LINK = r'<a href="([^"]*)">([^<]*)</a>'
-
-
 @query("extract_items_pages", with_(_blocks_sql("pages", "<li>")) + r"""
 SELECT page_id, pos,
   trim(regexp_extract(block, '<a href="[^"]*">([^<]*)</a>', 1)) AS title,

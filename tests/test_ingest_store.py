@@ -1,6 +1,5 @@
 import random
 
-from pyspark.sql import functions as F
 
 from recsmith.operators import ingest as I, prefix as PX, ratings as R
 from recsmith.sources import store as S

@@ -1,4 +1,3 @@
-import shutil
 
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F

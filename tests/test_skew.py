@@ -3,7 +3,6 @@
 import random
 
 from hypothesis import given, settings, strategies as st
-from pyspark.sql import functions as F
 
 from recsmith.operators import ingest as I, prefix as PX, ratings as R
 

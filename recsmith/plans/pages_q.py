@@ -16,29 +16,29 @@ IP = T.ITEM_URL_PREFIX
 
 LINES = """lines AS (SELECT l.*, o.o_custkey FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)"""
 
+ITEM_BLOCK = """'<div class="item"><div class="pic"><a class="nbg" title="' || name || '" href="' || item_url
+    || '"></a></div><div class="info"><a href="' || item_url || '"><em>' || name
+    || '</em></a><ul><li class="intro">' || summary || '</li><li>' || {rating} || '</li></ul></div></div>'"""
+
+RATING_CLASS = """CASE WHEN l_returnflag <> 'R' AND CAST(ceil(l_quantity / 10) AS INT) > 0
+            THEN '<span class="rating' || CAST(CAST(ceil(l_quantity / 10) AS INT) AS VARCHAR) || '-t"></span>'
+            ELSE '' END"""
+
 COLLECTION = LINES + f""",
 cat AS (SELECT CAST(p_partkey AS INT) AS item_id, p_name AS name, p_type AS summary,
                '{IP}' || CAST(p_partkey AS VARCHAR) || '/' AS item_url FROM part),
-snip AS (
-  SELECT l_orderkey AS page_id,
-    '<div class="item"><div class="pic"><a class="nbg" title="' || name || '" href="' || item_url
-    || '"></a></div><div class="info"><a href="' || item_url || '"><em>' || name
-    || '</em></a><ul><li class="intro">' || summary || '</li><li>'
-    || CASE WHEN l_returnflag <> 'R' AND CAST(ceil(l_quantity / 10) AS INT) > 0
-            THEN '<span class="rating' || CAST(CAST(ceil(l_quantity / 10) AS INT) AS VARCHAR) || '-t"></span>'
-            ELSE '' END
-    || '</li></ul></div></div>' AS s
-  FROM lines JOIN cat ON l_partkey = item_id),
-cpages AS (SELECT page_id, '<div class="article">' || string_agg(s, '' ORDER BY s) || '</div>' AS html
-           FROM snip GROUP BY page_id)"""
+cpages AS (
+  SELECT l_orderkey AS page_id, '<div class="article">' || {ITEM_BLOCK.format(rating=RATING_CLASS)}
+         || {ITEM_BLOCK.format(rating="''")} || '</div>' AS html
+  FROM lines JOIN cat ON l_partkey = item_id)"""
 
 COMMENTS = LINES + f""",
-snip AS (
+mpages AS (
   SELECT l_orderkey AS page_id,
     '<div class="comment-item"><span class="comment-info"><a href="{UP}' || CAST(s_suppkey AS VARCHAR)
-    || '/">' || replace(s_name, '#', ' ') || '</a></span><p>' || CAST(l_quantity AS VARCHAR) || '</p></div>' AS s
-  FROM lines JOIN supplier ON l_suppkey = s_suppkey),
-mpages AS (SELECT page_id, string_agg(s, '' ORDER BY s) AS html FROM snip GROUP BY page_id)"""
+    || '/">' || replace(s_name, '#', ' ') || '</a></span><p>' || CAST(l_quantity AS VARCHAR)
+    || '</p></div><div class="comment-item"><p>no link</p></div>' AS html
+  FROM lines JOIN supplier ON l_suppkey = s_suppkey)"""
 
 USER_COUNTS = """ucnt AS (
   SELECT o_custkey AS user_id, count(*) AS n_all,
@@ -227,22 +227,21 @@ def q_extract_attr(spark, d):
     return P.extract_attr(M.collection_pages(spark, d))
 
 
-@query("extract_score", with_(COLLECTION) + r"""
-SELECT page_id, s, coalesce(TRY_CAST(nullif(regexp_extract(s, 'rating(\d+)-t', 1), '') AS INT), 0) AS score
+@query("extract_score", with_(LINES) + f""",
+cat AS (SELECT CAST(p_partkey AS INT) AS item_id, p_name AS name, p_type AS summary,
+               '{IP}' || CAST(p_partkey AS VARCHAR) || '/' AS item_url FROM part),
+snip AS (SELECT l_orderkey AS page_id, {ITEM_BLOCK.format(rating=RATING_CLASS)} AS s
+         FROM lines JOIN cat ON l_partkey = item_id)
+SELECT page_id, s, coalesce(TRY_CAST(nullif(regexp_extract(s, 'rating(\\d+)-t', 1), '') AS INT), 0) AS score
 FROM snip""")
 def q_extract_score(spark, d):
-    # One snippet per rating line; the rating class is absent for score 0.
+    # One item block per rating line; the rating class is absent for score 0.
     items = T.items_table(spark, d)
     li = T.table(spark, d, "lineitem").join(items, F.col("l_partkey") == F.col("item_id"))
     score = T.score_expr()
-    s = F.concat(
-        F.lit('<div class="item"><div class="pic"><a class="nbg" title="'), F.col("name"),
-        F.lit('" href="'), F.col("item_url"), F.lit('"></a></div><div class="info"><a href="'),
-        F.col("item_url"), F.lit('"><em>'), F.col("name"), F.lit('</em></a><ul><li class="intro">'),
-        F.col("summary"), F.lit("</li><li>"),
-        F.when(score > 0, F.concat(F.lit('<span class="rating'), score.cast("string"), F.lit('-t"></span>')))
-        .otherwise(F.lit("")), F.lit("</li></ul></div></div>"))
-    return li.select(F.col("l_orderkey").alias("page_id"), s.alias("s")).select(
+    rating = F.when(score > 0, F.concat(F.lit('<span class="rating'), score.cast("string"),
+                                        F.lit('-t"></span>'))).otherwise(F.lit(""))
+    return li.select(F.col("l_orderkey").alias("page_id"), M._item_block(rating).alias("s")).select(
         "page_id", "s", X.extract_score("s").alias("score"))
 
 

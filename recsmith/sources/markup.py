@@ -2,9 +2,9 @@
 
 The driver's ``pages`` table carries no rating classes, paginators or
 collection links, so the extraction operators are also checked on pages
-built here from the rating facts. Every builder is a Spark job over the
-given tables (its size grows with them); groups are orders, whose line
-count is bounded.
+built here from the rating facts. Every builder is a map-side Spark job
+over the given tables (its size grows with them): one page per line item,
+so no group of rows is ever gathered into one page.
 """
 
 from __future__ import annotations
@@ -14,15 +14,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..sources import tables as T
 
 
-def _page_per_order(rows: DataFrame, snippet) -> DataFrame:
-    """Concatenate one snippet per line into one page per order, snippets
-    in text order (deterministic whatever the shuffle order)."""
-    return (rows.select("o_orderkey", snippet.alias("s"))
-            .groupBy("o_orderkey")
-            .agg(F.array_join(F.array_sort(F.collect_list("s")), "").alias("body"))
-            .select(F.col("o_orderkey").alias("page_id"), "body"))
-
-
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = T.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity",
                                                    "l_returnflag")
@@ -30,38 +21,42 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.join(od, li.l_orderkey == od.o_orderkey)
 
 
+def _item_block(rating):
+    return F.concat(
+        F.lit('<div class="item"><div class="pic"><a class="nbg" title="'), F.col("name"),
+        F.lit('" href="'), F.col("item_url"), F.lit('"></a></div><div class="info"><a href="'),
+        F.col("item_url"), F.lit('"><em>'), F.col("name"), F.lit('</em></a><ul><li class="intro">'),
+        F.col("summary"), F.lit("</li><li>"), rating, F.lit("</li></ul></div></div>"))
+
+
 def collection_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One collection page per order; one item block per line."""
+    """One collection page per line item (page_id = order key, so an
+    order's lines share an id), owned by the order's customer. Each page
+    holds two item blocks: the line's item with its rating class, then the
+    same item again without one (seen but unrated)."""
     items = T.items_table(spark, sf_dir).select(F.col("item_id"), F.col("name"), F.col("summary"),
                                                 F.col("item_url"))
-    rows = _lines(spark, sf_dir).join(items, F.col("l_partkey") == F.col("item_id"))
+    c = T.table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    rows = (_lines(spark, sf_dir).join(items, F.col("l_partkey") == F.col("item_id"))
+            .join(c, F.col("o_custkey") == F.col("c_custkey")))
     score = T.score_expr()
     rating = F.when(score > 0, F.concat(F.lit('<span class="rating'), score.cast("string"),
                                         F.lit('-t"></span>'))).otherwise(F.lit(""))
-    snippet = F.concat(
-        F.lit('<div class="item"><div class="pic"><a class="nbg" title="'), F.col("name"),
-        F.lit('" href="'), F.col("item_url"), F.lit('"></a></div><div class="info"><a href="'),
-        F.col("item_url"), F.lit('"><em>'), F.col("name"), F.lit('</em></a><ul><li class="intro">'),
-        F.col("summary"), F.lit("</li><li>"), rating, F.lit("</li></ul></div></div>"))
-    pages = _page_per_order(rows, snippet)
-    owners = (T.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-              .join(T.table(spark, sf_dir, "customer").select("c_custkey", "c_name"),
-                    F.col("o_custkey") == F.col("c_custkey"))
-              .select(F.col("o_orderkey").alias("page_id"), F.col("c_name").alias("user_name")))
-    return pages.join(owners, "page_id").select(
-        "page_id", F.concat(F.lit('<div class="article">'), F.col("body"), F.lit("</div>")).alias("html"),
-        "user_name")
+    html = F.concat(F.lit('<div class="article">'), _item_block(rating), _item_block(F.lit("")), F.lit("</div>"))
+    return rows.select(F.col("l_orderkey").alias("page_id"), html.alias("html"), F.col("c_name").alias("user_name"))
 
 
 def comment_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One comment page per order; one comment per line, by its supplier."""
+    """One comment page per line item (page_id = order key): a comment by
+    the line's supplier, then one without a user link."""
     sup = T.table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     rows = _lines(spark, sf_dir).join(sup, F.col("l_suppkey") == F.col("s_suppkey"))
-    snippet = F.concat(
+    html = F.concat(
         F.lit('<div class="comment-item"><span class="comment-info"><a href="'), F.lit(T.USER_URL_PREFIX),
         F.col("s_suppkey").cast("string"), F.lit('/">'), F.translate(F.col("s_name"), "#", " "),
-        F.lit("</a></span><p>"), F.col("l_quantity").cast("string"), F.lit("</p></div>"))
-    return _page_per_order(rows, snippet).select("page_id", F.col("body").alias("html"))
+        F.lit("</a></span><p>"), F.col("l_quantity").cast("string"),
+        F.lit('</p></div><div class="comment-item"><p>no link</p></div>'))
+    return rows.select(F.col("l_orderkey").alias("page_id"), html.alias("html"))
 
 
 def _user_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

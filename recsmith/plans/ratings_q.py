@@ -150,13 +150,10 @@ SELECT CASE WHEN (user_id * 31 + item_id * 17) % 10 < 8 THEN 'train' ELSE 'test'
        count(*) AS n_rows, CAST(sum(score) AS BIGINT) AS sum_score
 FROM ratings_base GROUP BY 1""")
 def q_split_ratings(spark, d):
-    train, test = R.split_ratings(T.ratings_base(spark, d))
-
-    def summary(df, tag):
-        return df.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("score").cast("bigint").alias("sum_score")) \
-            .select(F.lit(tag).alias("part"), "n_rows", "sum_score")
-
-    return summary(train, "train").unionByName(summary(test, "test"))
+    # One pass: tag each row with its part, aggregate per part.
+    tagged = R.tag_split(T.ratings_base(spark, d))
+    return tagged.groupBy("part").agg(F.count(F.lit(1)).alias("n_rows"),
+                                      F.sum("score").cast("bigint").alias("sum_score"))
 
 
 @query("validate_schema", with_(RATINGS_FACTS) + """

@@ -83,3 +83,28 @@ def test_refresh_recommendations_upserts(spark, tmp_path):
     assert u2.count() == u1.count()          # untouched users stay
     i2 = spark.read.parquet(second["item_recs"])
     assert i2.filter(F.size("neighbour_ids") > 3).count() == 0
+
+
+def test_mse_matches_evaluator(spark):
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from recsmith.operators import evaluate as E
+    data = als_data(spark)
+    train, test = R.split_ratings(data, user_col="userId", item_col="movieId")
+    pred = M.als_predict(M.als_fit(train, rank=4, seed=5), test).cache()
+    ours = E.mse(pred).first()["mse"]
+    theirs = RegressionEvaluator(metricName="mse", labelCol="rating", predictionCol="prediction").evaluate(pred)
+    assert abs(ours - theirs) < 1e-9
+
+
+def test_titles_and_missing_rows(spark):
+    from recsmith.operators import ingest as I, serve as V
+    lists = spark.createDataFrame([(1, [5, 999])], "user_id int, item_ids array<int>")
+    items = spark.createDataFrame([(5, "five", "s", "u5")], "item_id int, name string, summary string, item_url string")
+    got = [tuple(r) for r in V.rec_titles(lists, items).orderBy("pos").collect()]
+    assert got == [(1, 0, 5, "five"), (1, 1, 999, None)]
+    users = spark.createDataFrame([("quiet", 0), ("new", 3)], "name string, declared_total int")
+    ratings = spark.createDataFrame([], "user_name string, score int")
+    st = {r.name: (r.n_all, r.complete, r.skip) for r in I.crawl_status(ratings, users, quota=2).collect()}
+    assert st == {"quiet": (0, True, True), "new": (0, False, False)}
+    firsts = [r[0] for r in lists.select(V.take_first_n("item_ids", 10)).collect()]
+    assert firsts == [[5, 999]]

@@ -174,3 +174,14 @@ def q_parse_ratings_text(spark, d):
     path = scratch_path(spark, "rating-lines")
     TX.write_lines(lines, path, mode="errorifexists")
     return TX.parse_ratings_text(spark, path)
+
+
+@query("serve_user", with_(RATING_EVENTS, ALL_U, ITEMS) + f"""
+, s AS (SELECT user_id, CAST(draw AS INT) AS draw, ids[1 + CAST({MIX.format(d='draw')} % len(ids) AS INT)] AS item_id
+        FROM (SELECT user_id, ids, unnest(range(1, 4)) AS draw FROM all_u WHERE len(ids) >= 3))
+SELECT s.user_id, s.draw, s.item_id, '{V.USER_TEMPLATE.replace('%s', '')}' || i.name AS message
+FROM s LEFT JOIN items i ON s.item_id = i.item_id""")
+def q_serve_user(spark, d):
+    lists = user_lists(spark, d)
+    requests = lists.select("user_id", F.lit(3).alias("n"))
+    return V.serve_user(requests, lists, T.items_table(spark, d), seed=7)

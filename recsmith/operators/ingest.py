@@ -105,17 +105,35 @@ def quota_pages(page_counts: DataFrame, stored: DataFrame, quota: int = RATED_QU
     return got.filter(F.col("_st") + F.col("_before") <= F.lit(quota)).drop("_st", "_before")
 
 
+WORKLIST_CHUNK = 4096
+
+
 def page_worklist(profiles: DataFrame, status: DataFrame | None = None, key_col: str = "name",
                   base_col: str = "home_url", pages_col: str = "page_count", step: int = X.PAGE_STEP,
-                  inclusive: bool = False) -> DataFrame:
+                  inclusive: bool = False, chunk: int = WORKLIST_CHUNK) -> DataFrame:
     """K2: (key, page, start, url) for every page of every user still to
-    crawl; users whose ``status.skip`` is true are removed (anti-join)."""
+    crawl; users whose ``status.skip`` is true are removed (anti-join).
+
+    A user's pages are first cut into chunks of ``chunk`` pages (one small
+    descriptor row each), the descriptors are spread over the cluster, and
+    only then expanded: a user with millions of pages does not generate
+    them all in one task.
+    """
     todo = profiles
     if status is not None:
         todo = todo.join(status.filter(F.col("skip")).select(key_col), key_col, "left_anti")
-    pages = todo.select(key_col, base_col, F.posexplode(X.page_offsets(pages_col, step, inclusive))
-                        .alias("page", "start"))
-    return pages.select(key_col, "page", "start", X.page_url(F.col(base_col), F.col("start")).alias("url"))
+    n = F.col(pages_col) + (1 if inclusive else 0)
+    n_chunks = F.greatest(F.ceil(n / F.lit(chunk)), F.lit(1)).cast("int")
+    desc = todo.select(key_col, base_col, n.alias("_n"),
+                       F.explode(F.sequence(F.lit(0), n_chunks - 1)).alias("_c"))
+    slots = profiles.sparkSession.sparkContext.defaultParallelism
+    desc = desc.repartition(slots, key_col, "_c")
+    lo = F.col("_c") * chunk
+    hi = F.least(lo + chunk, F.greatest(F.col("_n"), F.lit(1))) - 1
+    pages = desc.select(key_col, base_col, F.explode(F.sequence(lo, hi)).alias("page"))
+    start = (F.col("page") * step).cast("int")
+    return pages.select(key_col, F.col("page").cast("int").alias("page"), start.alias("start"),
+                        X.page_url(F.col(base_col), start).alias("url"))
 
 
 def seed_page_worklist(items: DataFrame, url_col: str = "item_url", key_col: str = "item_id",

@@ -82,3 +82,17 @@ def test_dense_ids_property(spark, keys, base, parts):
     df = spark.createDataFrame([(k,) for k in keys], "item_url string").repartition(parts)
     got = {r.item_url: r.id for r in PX.dense_ids(df, "item_url", base).collect()}
     assert got == {k: base + 1 + i for i, k in enumerate(sorted(keys))}
+
+
+def test_page_worklist_hot_user_chunks(spark):
+    prof = spark.createDataFrame([("hot", "h?", 1001), ("one", "o?", 1), ("zero", "z?", 0)],
+                                 "name string, home_url string, page_count int")
+    got = I.page_worklist(prof, chunk=100).collect()
+    pages = {}
+    for r in got:
+        pages.setdefault(r.name, []).append(r.page)
+    assert sorted(pages["hot"]) == list(range(1001))
+    assert pages["one"] == [0] and pages["zero"] == [0]
+    inc = {r.page for r in I.page_worklist(prof, chunk=100, inclusive=True).collect() if r.name == "hot"}
+    assert inc == set(range(1002))
+    assert all(r.start == 15 * r.page and r.url.startswith("h?start=") for r in got if r.name == "hot")

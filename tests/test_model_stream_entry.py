@@ -108,3 +108,21 @@ def test_titles_and_missing_rows(spark):
     assert st == {"quiet": (0, True, True), "new": (0, False, False)}
     firsts = [r[0] for r in lists.select(V.take_first_n("item_ids", 10)).collect()]
     assert firsts == [[5, 999]]
+
+
+def test_stream_ingest_across_micro_batches(spark, tmp_path):
+    src = tmp_path / "src"
+    src.mkdir()
+    table = pq.read_table(f"{SF}/pages.parquet")
+    third = table.num_rows // 3
+    pq.write_table(table.slice(0, third), src / "a.parquet")
+    pq.write_table(table.slice(third, third), src / "b.parquet")
+    pq.write_table(table.slice(2 * third), src / "c.parquet")
+    pq.write_table(table.slice(0, third), src / "d.parquet")    # replay
+    target = str(tmp_path / "out")
+    L.stream_ingest_pages(spark, str(src), target, extract=L.nav_items, checkpoint=str(tmp_path / "ck"),
+                          max_files_per_trigger=1)
+    out = spark.read.parquet(target)
+    assert out.groupBy("item_url").count().filter("count > 1").count() == 0
+    whole = L.nav_items(spark.read.parquet(f"{SF}/pages.parquet")).select("item_url").distinct().count()
+    assert out.count() == whole

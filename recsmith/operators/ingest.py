@@ -143,3 +143,23 @@ def seed_page_worklist(items: DataFrame, url_col: str = "item_url", key_col: str
     offs = F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(pages - 1)), lambda i: i * step))
     return items.select(key_col, url_col, offs.alias("page", "start")).select(
         key_col, "page", X.comment_page_url(F.col(url_col), F.col("start")).alias("url"))
+
+
+def rated_quota_reached(ratings: DataFrame, users: DataFrame, quota: int = RATED_QUOTA, **kw) -> DataFrame:
+    """Per known user, whether its rated rows exceed ``quota``."""
+    return crawl_status(ratings, users, quota, **kw).select("name", "n_rated", "quota_reached")
+
+
+def collection_complete(ratings: DataFrame, users: DataFrame, **kw) -> DataFrame:
+    """D3: per known user, whether its stored rows reach the declared total."""
+    return crawl_status(ratings, users, **kw).select("name", "n_all", "declared_total", "complete")
+
+
+def filter_heavy_users(links: DataFrame, min_count: int = 900, count_col: str = "n") -> DataFrame:
+    """Links whose leading number is strictly above ``min_count``."""
+    return links.filter(F.coalesce(F.col(count_col), F.lit(-1)) > F.lit(min_count))
+
+
+def filter_link_contains(links: DataFrame, word: str, href_col: str = "href") -> DataFrame:
+    """Links whose address contains ``word``."""
+    return links.filter(F.col(href_col).contains(word))

@@ -127,16 +127,16 @@ def q_crawl_status(spark, d):
 SELECT user_name, count(*) FILTER (WHERE score > 0) > {QUOTA} AS quota_reached
 FROM ratings_facts GROUP BY user_name""")
 def q_rated_quota_reached(spark, d):
-    got = I.crawl_status(_facts(spark, d), T.users_table(spark, d), quota=QUOTA)
-    return got.filter(F.col("n_all") > 0).select(F.col("name").alias("user_name"), "quota_reached")
+    got = I.rated_quota_reached(_facts(spark, d), T.users_table(spark, d), quota=QUOTA)
+    return got.join(_facts(spark, d).select(F.col("user_name").alias("name")).distinct(), "name", "left_semi") \
+        .select(F.col("name").alias("user_name"), "quota_reached")
 
 
 @query("collection_complete", with_(RATINGS_FACTS, USERS) + """
 SELECT u.name, count(f.user_name) >= min(u.declared_total) AS complete
 FROM users u LEFT JOIN ratings_facts f ON f.user_name = u.name GROUP BY u.name""")
 def q_collection_complete(spark, d):
-    got = I.crawl_status(_facts(spark, d), T.users_table(spark, d), quota=QUOTA)
-    return got.select("name", "complete")
+    return I.collection_complete(_facts(spark, d), T.users_table(spark, d)).select("name", "complete")
 
 
 @query("quota_pages", f"""

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..operators import pages as P
+from ..operators import ingest as I, pages as P
 from ..sources import markup as M, tables as T
 from .oracle import with_
 from .registry import query
@@ -196,7 +196,7 @@ def q_filter_heavy_users(spark, d):
     links = M.home_pages(spark, d).select(
         "page_id", F.explode(P.link_pairs(F.regexp_extract("html", P.HOME_SECTION, 1), P.HOME_LINK)).alias("p"))
     got = links.select("page_id", F.col("p.href").alias("href"), X.extract_first_number("p.text").alias("n"))
-    return got.filter(F.coalesce(F.col("n"), F.lit(-1)) > P.HEAVY_MIN)
+    return I.filter_heavy_users(got, P.HEAVY_MIN)
 
 
 @query("filter_link_contains", r"""
@@ -206,7 +206,7 @@ WHERE contains(href, 'the')""")
 def q_filter_link_contains(spark, d):
     links = T.table(spark, d, "pages").select(
         "page_id", F.explode(F.regexp_extract_all("html", F.lit(r'<a href="([^"]*)">'), F.lit(1))).alias("href"))
-    return links.filter(F.col("href").contains("the"))
+    return I.filter_link_contains(links, "the")
 
 
 @query("extract_first_number", r"""

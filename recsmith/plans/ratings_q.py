@@ -166,5 +166,5 @@ SELECT count(*) FILTER (WHERE item_name IS NULL) AS item_name_nulls,
        count(*) AS n_rows
 FROM ratings_facts""")
 def q_validate_schema(spark, d):
-    from ..schemas import RATINGS, null_violations
-    return null_violations(T.ratings_facts(spark, d), RATINGS)
+    from ..schemas import RATINGS, validate_schema
+    return validate_schema(T.ratings_facts(spark, d), RATINGS)

@@ -41,8 +41,11 @@ def q_similar_items(spark, d):
 SELECT CAST(item_id AS INT) AS item_id, list(CAST(neighbour_id AS INT) ORDER BY rank) AS neighbour_ids
 FROM topn GROUP BY item_id""")
 def q_remove_self(spark, d):
-    # The stored list form (A8): no list holds its own key.
-    return S.neighbour_lists(_similar(spark, d))
+    # The stored list form (A8): the item put in front of its own list, as
+    # a top-(n+1) would hold it, is removed again.
+    lists = S.neighbour_lists(_similar(spark, d))
+    with_self = lists.withColumn("neighbour_ids", F.concat(F.array(F.col("item_id")), F.col("neighbour_ids")))
+    return S.remove_self(with_self)
 
 
 @query("cosine_pairs", "WITH " + UNIT + """
@@ -56,4 +59,5 @@ def q_cosine_pairs(spark, d):
     a = e.select(F.col("vec_id").alias("item_id"), F.col("embedding").alias("va"))
     b = e.select((F.col("vec_id") - 1).alias("item_id"), F.col("vec_id").alias("other_id"),
                  F.col("embedding").alias("vb"))
-    return a.join(b, "item_id").select("item_id", "other_id", F.round(S.cosine("va", "vb"), 6).alias("sim"))
+    got = S.cosine_pairs(a.join(b, "item_id"), "va", "vb")
+    return got.select("item_id", "other_id", F.round("sim", 6).alias("sim"))

@@ -80,3 +80,9 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     if required:
         out = out.filter(reduce(lambda a, b: a & b, required))
     return out
+
+
+def validate_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """A10: one row of null-violation counts per required column (and the
+    row count); all zero means ``df`` can be stored under ``schema``."""
+    return null_violations(df, schema)

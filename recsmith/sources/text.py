@@ -70,3 +70,13 @@ def parse_seed_list(spark: SparkSession, path: str, dedup: bool = True) -> DataF
 def format_seed_lines(df: DataFrame, url_col: str = "collect_url", name_col: str = "user_name") -> DataFrame:
     """A5: (url, name) -> ``value = 'url name'``."""
     return df.select(F.concat_ws(" ", F.col(url_col), F.col(name_col)).alias("value"))
+
+
+def format_ratings_text(df: DataFrame, path: str, **cols) -> None:
+    """A4: append (user, item, score) rows as ``u::i::s`` lines."""
+    write_lines(format_rating_lines(df, **cols), path, mode="append")
+
+
+def format_seed_list(df: DataFrame, path: str, **cols) -> None:
+    """A5: append (collect url, name) rows as ``url name`` lines."""
+    write_lines(format_seed_lines(df, **cols), path, mode="append")

@@ -49,6 +49,11 @@ def main() -> None:
     spark.range(1000).selectExpr("sum(id)").collect()
     spark.range(0, 10_000, 1, int(cpus)).mapInPandas(lambda it: it, "id long").write.format("noop") \
         .mode("overwrite").save()
+    from pyspark.ml.recommendation import ALS  # load Spark ML's ALS code paths on a tiny input
+    tiny = spark.range(2000).selectExpr("CAST(id % 50 AS INT) AS userId", "CAST(id % 40 AS INT) AS movieId",
+                                        "CAST(id % 5 + 1 AS INT) AS rating")
+    ALS(rank=2, maxIter=1, userCol="userId", itemCol="movieId", ratingCol="rating", seed=1).fit(tiny) \
+        .recommendForAllUsers(2).write.format("noop").mode("overwrite").save()
     times = {}
     for name in HEADLINE:
         if only and name not in only:

@@ -111,5 +111,10 @@ def strip_label(c, label: str) -> Column:
 
 
 def serve_message(template: str, *cols) -> Column:
-    """Serving text around titles (``%s`` placeholders)."""
-    return F.format_string(template, *[_c(c) for c in cols])
+    """Serving text around titles (``%s`` placeholders); null when a
+    title is unknown (no message is served for a missing item)."""
+    args = [_c(c) for c in cols]
+    known = args[0].isNotNull()
+    for a in args[1:]:
+        known = known & a.isNotNull()
+    return F.when(known, F.format_string(template, *args))

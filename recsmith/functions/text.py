@@ -64,7 +64,7 @@ def extract_first_number(c) -> Column:
     return first_group_int(c, FIRST_NUMBER_PATTERN)
 
 
-def paginator_texts(html, block: str = r'<div class="paginator">([\s\S]*?)</div>') -> Column:
+def paginator_texts(html, block: str = r'(?s)<div class="paginator">(.*?)</div>') -> Column:
     """Texts of the links inside the paginator block."""
     inner = F.regexp_extract(_c(html), block, 1)
     return F.regexp_extract_all(inner, F.lit(r"<a[^>]*>([^<]*)</a>"), F.lit(1))

@@ -13,16 +13,17 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import text as X
 
-# Markup of the crawled pages.
+# Markup of the crawled pages. ``(?s).*?`` is used rather
+# than ``[\s\S]*?``: same matches, several times faster in Java's engine.
 ITEM_MARKER = '<div class="item">'
-ITEM_TITLE = r'<div class="info">[\s\S]*?<em>([\s\S]*?)</em>'
-ITEM_LINK = r'<div class="info">[\s\S]*?<a href="([^"]*)"'
-ITEM_SUMMARY = r'<li class="intro">([\s\S]*?)</li>'
-PROFILE_NAME = r'<div class="side-info-txt">\s*<h3>([\s\S]*?)</h3>'
-PROFILE_HEADING = r'<div class="info">\s*<h1>([\s\S]*?)</h1>'
+ITEM_TITLE = r'(?s)<div class="info">.*?<em>(.*?)</em>'
+ITEM_LINK = r'(?s)<div class="info">.*?<a href="([^"]*)"'
+ITEM_SUMMARY = r'(?s)<li class="intro">(.*?)</li>'
+PROFILE_NAME = r'(?s)<div class="side-info-txt">\s*<h3>(.*?)</h3>'
+PROFILE_HEADING = r'(?s)<div class="info">\s*<h1>(.*?)</h1>'
 COMMENT_MARKER = '<div class="comment-item">'
-COMMENT_LINK = r'<span class="comment-info">[\s\S]*?<a href="([^"]*)"[^>]*>([^<]*)</a>'
-HOME_SECTION = r'<div id="movie">([\s\S]*?)</div>'
+COMMENT_LINK = r'(?s)<span class="comment-info">.*?<a href="([^"]*)"[^>]*>([^<]*)</a>'
+HOME_SECTION = r'(?s)<div id="movie">(.*?)</div>'
 HOME_LINK = r'<span class="pl">\s*<a href="([^"]*)"[^>]*>([^<]*)</a>'
 COLLECT_WORD = "collect"
 HEAVY_MIN = 900

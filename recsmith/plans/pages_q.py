@@ -130,8 +130,8 @@ SELECT CASE WHEN user_name = '' THEN 'no_name' WHEN declared_total IS NULL THEN
          AS status, count(*) AS n_pages
 FROM prof GROUP BY 1""")
 def q_ingest_pages(spark, d):
-    got = P.ingest_pages(T.table(spark, d, "pages"), name_pattern=r"<title>([\s\S]*?)</title>",
-                         heading_pattern=r"<body>([\s\S]*)")
+    got = P.ingest_pages(T.table(spark, d, "pages"), name_pattern=r"(?s)<title>(.*?)</title>",
+                         heading_pattern=r"(?s)<body>(.*)")
     return got.groupBy("status").agg(F.count(F.lit(1)).alias("n_pages"))
 
 
@@ -248,7 +248,7 @@ def q_extract_score(spark, d):
 @query("strip_label", r"""
 SELECT page_id, trim(replace(regexp_extract(html, '<h1>([\s\S]*?)</h1>', 1), '&amp;', '')) AS heading FROM pages""")
 def q_strip_label(spark, d):
-    h1 = F.regexp_extract("html", r"<h1>([\s\S]*?)</h1>", 1)
+    h1 = F.regexp_extract("html", r"(?s)<h1>(.*?)</h1>", 1)
     return T.table(spark, d, "pages").select("page_id", X.strip_label(h1, "&amp;").alias("heading"))
 
 

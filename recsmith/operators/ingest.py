@@ -99,10 +99,9 @@ def quota_pages(page_counts: DataFrame, stored: DataFrame, quota: int = RATED_QU
     (the check runs before the first page and after each page). The
     running sum is skew-safe (``running_sum_before``).
     """
-    run = running_sum_before(page_counts, key_col, page_col, rated_col, "_before")
-    st = stored.select(key_col, F.col(stored_col).alias("_st"))
-    got = run.join(st, key_col, "left").withColumn("_st", F.coalesce(F.col("_st"), F.lit(0)))
-    return got.filter(F.col("_st") + F.col("_before") <= F.lit(quota)).drop("_st", "_before")
+    run = running_sum_before(page_counts, key_col, page_col, rated_col, "_before", start=stored,
+                             start_col=stored_col)
+    return run.filter(F.col("_before") <= F.lit(quota)).drop("_before")
 
 
 WORKLIST_CHUNK = 4096

@@ -45,4 +45,3 @@ def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
 
-SQL: dict[str, str] = {}

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import scratch_dir
+from ..session import cut_lineage, scratch_dir
 from . import evaluate as E
 from .ratings import split_ratings
 from .similarity import neighbour_lists, similar_items
@@ -114,6 +114,9 @@ def recommend_run(ratings: DataFrame, rank: int = MAIN_RANK, user_n: int = USER_
 def evaluate_als(ratings: DataFrame, rank: int = EVAL_RANK, ks=E.K_GRID, seed: int = 42) -> DataFrame:
     """D11 with ALS: hash 80/20 split, fit on train, recommend once at
     max(ks) for the test users (E4), one aggregation over ks."""
+    # The ratings feed the fit, the recommended users and the hit join:
+    # written once to the shared checkpoint folder instead of recomputed.
+    ratings = cut_lineage(ratings)
     train, test = split_ratings(ratings, user_col="userId", item_col="movieId")
     model = als_fit(train, rank, seed)
     recs = E.recs_long(als_subset_recs(model, test, max(ks)))

@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from . import decontam, exact_dedup, license_scan, packing, token_counts  # noqa: F401
+from . import decontam, exact_dedup, license_scan, ngram_join, packing, token_counts  # noqa: F401
 from .common import ORACLE, QUERIES  # noqa: F401

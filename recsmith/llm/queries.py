@@ -2,5 +2,6 @@
 
 from __future__ import annotations
 
-from . import decontam, exact_dedup, license_scan, ngram_join, packing, token_counts  # noqa: F401
+from . import (  # noqa: F401
+    decontam, exact_dedup, language, license_scan, ngram_join, packing, quality, token_counts, toxicity)
 from .common import ORACLE, QUERIES  # noqa: F401

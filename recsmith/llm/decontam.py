@@ -118,6 +118,18 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) ->
         (n_hit > 0).alias("contaminated"))
 
 
+def clean(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
+    """The rows of ``docs`` in which no test window occurs, with all their columns."""
+    hit = matches(docs, test_windows(benchmark, width), width).select(
+        _row_key(F.col("doc_id"), F.col("row_hash")).alias("key")).distinct()
+    rows = docs.select(_row_key(F.col("doc_id"), F.xxhash64("text")).alias("key"), F.struct("*").alias("row"))
+    return rows.join(hit, "key", "left_anti").select("row.*")
+
+
+def _row_key(doc_id: Column, row_hash: Column) -> Column:
+    return F.concat_ws("|", F.coalesce(doc_id.cast("string"), F.lit("")), row_hash.cast("string"))
+
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 SQL = f"""

@@ -74,6 +74,20 @@ def exact_groups(docs: DataFrame, low: int = MIN_CHUNK, high: int = MAX_CHUNK) -
         (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)).alias("kept"), "text_sha256")
 
 
+def _row_key(doc_id: Column, text_sha256: Column) -> Column:
+    return F.sha2(F.concat_ws("|", F.coalesce(doc_id.cast("string"), F.lit("")), text_sha256), 256)
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stay: one for each text, with all their columns."""
+    kept = exact_groups(docs).where("kept").select(
+        _row_key(F.col("doc_id"), F.col("text_sha256")).alias("key")).distinct()
+    sha = F.sha2(ascii_lower(F.coalesce("text", F.lit(""))), 256)
+    rows = docs.select(_row_key(F.col("doc_id"), sha).alias("key"), F.struct("*").alias("row"))
+    first = F.row_number().over(Window.partitionBy("key").orderBy("key"))  # rows that repeat id and text
+    return rows.join(kept, "key", "left_semi").withColumn("no", first).where("no = 1").select("row.*")
+
+
 SQL = """
 WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
            FROM documents)

@@ -293,6 +293,18 @@ def join_components(docs: DataFrame) -> DataFrame:
                       F.when(empty, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose id names their component, with all their columns.
+
+    Rows that share a ``doc_id`` stay or go together; those without one stay
+    if one of them is in a component without any id.
+    """
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    kept = join_components(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
+        key.alias("key")).distinct()
+    return docs.select(key.alias("key"), F.struct("*").alias("row")).join(kept, "key", "left_semi").select("row.*")
+
+
 @query("op1_ngram_join")
 def op1(spark, sf_dir):
     return join_components(table(spark, sf_dir, "documents"))

@@ -161,9 +161,10 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", mod: int = 5
     return pickle.loads(rows.mapInPandas(learn, "model binary").first()["model"])
 
 
-def score(docs: DataFrame, model: dict, mod: int = 5, remainder: int = 0) -> DataFrame:
-    """doc_id, held_out, score, predicted: one row per row of ``docs``."""
+def score(docs: DataFrame, model: dict, mod: int = 5, remainder: int = 0, carry: bool = False) -> DataFrame:
+    """doc_id, held_out, score, predicted: one row per row of ``docs``; with ``carry`` also ``row``, that row itself."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
+    extra = ["row"] if carry else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
@@ -178,12 +179,19 @@ def score(docs: DataFrame, model: dict, mod: int = 5, remainder: int = 0) -> Dat
                     z[row:row + n] += _raw(m["w"], m["v"], key // FEATURES, key % FEATURES, n)
             p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("held_out"), pa.array(p), pa.array((p >= 0.5).astype(np.int32))],
-                ["doc_id", "held_out", "score", "predicted"])
+                [batch.column("doc_id"), batch.column("held_out"), pa.array(p), pa.array((p >= 0.5).astype(np.int32)),
+                 *(batch.column(c) for c in extra)], ["doc_id", "held_out", "score", "predicted", *extra])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       held_out(F.col("doc_id"), mod, remainder).alias("held_out"), "text").mapInArrow(
-        run, "doc_id long, held_out boolean, score double, predicted int")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                       held_out(F.col("doc_id"), mod, remainder).alias("held_out"), "text",
+                       *([F.struct("*").alias("row")] if carry else []))
+    schema = "doc_id long, held_out boolean, score double, predicted int"
+    return rows.mapInArrow(run, schema + (f", row {rows.schema['row'].dataType.simpleString()}" if carry else ""))
+
+
+def clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that a model fitted on them and ``labels`` does not predict as toxic."""
+    return score(docs, train(docs, labels), carry=True).where("predicted = 0").select("row.*")
 
 
 @query("op2_toxicity")

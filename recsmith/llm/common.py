@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import pickle
 import string
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
@@ -55,3 +57,15 @@ def ascii_lower(text: Column) -> Column:
 def held_out(doc_id: Column, mod: int, remainder: int) -> Column:
     """crc32 of the id as text, modulo ``mod``, equals ``remainder``; a null id is never held out."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % mod == remainder, F.lit(False))
+
+
+def fitted(sample: DataFrame, fit: Callable[[pd.DataFrame], object]):
+    """``fit`` of a sample of bounded size, in one task; the model comes back to the driver."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = [*batches]
+        yield pd.DataFrame({"model": [pickle.dumps(fit(pd.concat(rows) if rows else empty))]})
+
+    empty = pd.DataFrame({c: [] for c in sample.columns})
+    got = sample.repartition(1).mapInPandas(run, "model binary").first()
+    return pickle.loads(got["model"]) if got else fit(empty)

@@ -16,7 +16,6 @@ rows.
 
 from __future__ import annotations
 
-import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +23,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import held_out, query, table
+from .common import fitted, held_out, query, table
 from .words import LETTERS, chunks
 
 DIMS = 4096
@@ -89,15 +88,11 @@ def train(docs: DataFrame, mod: int = 3, remainder: int = 1) -> dict | None:
                     [batch.column("lang").slice(row, len(x)), pa.array([r.tobytes() for r in x], pa.binary())],
                     ["lang", "counts"])
 
-    def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        langs, x = [], []
-        for pdf in batches:
-            langs += pdf["lang"].tolist()
-            x += [np.frombuffer(v, np.float32) for v in pdf["counts"]]
-        yield pd.DataFrame({"model": [pickle.dumps(fit(langs, np.vstack(x) if x else np.empty((0, DIMS))))]})
+    def learn(rows: pd.DataFrame) -> dict | None:
+        counts = [np.frombuffer(v, np.float32) for v in rows["counts"]]
+        return fit(rows["lang"].tolist(), np.vstack(counts) if counts else np.empty((0, DIMS)))
 
-    rows = sample.mapInArrow(read, "lang string, counts binary").repartition(1)
-    return pickle.loads(rows.mapInPandas(learn, "model binary").first()["model"])
+    return fitted(sample.mapInArrow(read, "lang string, counts binary"), learn)
 
 
 def identify(docs: DataFrame, model: dict | None, mod: int = 3, remainder: int = 1) -> DataFrame:

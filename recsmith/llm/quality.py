@@ -18,7 +18,6 @@ ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
-import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +25,7 @@ import pandas as pd
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from .common import held_out, query, table
+from .common import fitted, held_out, query, table
 from .toxicity import labelled_sample
 
 SAMPLE = 3000  # labelled rows of each label, at most
@@ -91,13 +90,12 @@ def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[float, flo
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", mod: int = 3, remainder: int = 1) -> dict:
     sample = labelled_sample(labels, label, mod, remainder, SAMPLE)
 
-    def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = pd.concat([*batches, pd.DataFrame({"doc_id": [], "label": [], "text": []})]).sort_values("doc_id")
-        yield pd.DataFrame({"model": [pickle.dumps(fit(rows["label"].to_numpy(float), rows["text"].tolist()))]})
+    def learn(rows: pd.DataFrame) -> dict:
+        rows = rows.sort_values("doc_id")
+        return fit(rows["label"].to_numpy(float), rows["text"].tolist())
 
     # Broadcast: 2 * SAMPLE rows at most.
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").repartition(1)
-    return pickle.loads(rows.select("doc_id", "label", "text").mapInPandas(learn, "model binary").first()["model"])
+    return fitted(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id"), learn)
 
 
 def score(docs: DataFrame, model: dict, mod: int = 3, remainder: int = 1) -> DataFrame:

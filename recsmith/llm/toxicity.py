@@ -25,7 +25,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import held_out, query, table
+from .common import fitted, held_out, query, table
 from .words import LETTERS, chunks, hashes, list_array, spans
 
 BUCKETS = 1 << 18
@@ -144,21 +144,12 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", mod: int = 5
                 own += np.split(bucket.astype(np.int32), np.searchsorted(doc, np.arange(1, n)))
             yield pa.RecordBatch.from_arrays([batch.column(0), list_array(own, pa.int32())], ["label", "buckets"])
 
-    def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import pickle
-
-        y, own = [], []
-        for pdf in batches:
-            y += pdf["label"].tolist()
-            own += [np.asarray(x) for x in pdf["buckets"]]
-        yield pd.DataFrame({"model": [pickle.dumps(fit(np.array(y, float), own))]})
-
-    import pickle
+    def learn(rows: pd.DataFrame) -> dict:
+        return fit(rows["label"].to_numpy(float), [np.asarray(x) for x in rows["buckets"]])
 
     # Broadcast: 2 * SAMPLE rows at most.
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("label", "text")
-    rows = rows.mapInArrow(read, "label int, buckets array<int>").repartition(1)
-    return pickle.loads(rows.mapInPandas(learn, "model binary").first()["model"])
+    return fitted(rows.mapInArrow(read, "label int, buckets array<int>"), learn)
 
 
 def score(docs: DataFrame, model: dict, mod: int = 5, remainder: int = 0, carry: bool = False) -> DataFrame:

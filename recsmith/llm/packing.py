@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from .common import query, table
-from .pretokens import BYTE_BPE, IdCache, default_path, runs
+from .pretokens import BYTE_RANKS, default_path, token_ids
 
 CAPACITY = 1024
 GROUP_TOKENS = 1 << 21
@@ -68,7 +68,7 @@ def assign(lengths: np.ndarray, capacity: int, linear: float = LINEAR, quadratic
     return pieces, cost
 
 
-def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
+def pack(docs: DataFrame, ranks_path: str, capacity: int = CAPACITY,
          group_tokens: int = GROUP_TOKENS, end_id: int = 0) -> DataFrame:
     """One row per piece, with the columns of ``SCHEMA``."""
 
@@ -83,36 +83,23 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
             "sequence_cost": cost[seq]}), first_seq + len(cost)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache = _cache(tokenizer_path)
         seq, ids, tokens, size = TaskContext.get().partitionId() << 32, [], [], 0
         end = np.array([end_id], "<u4")
         for pdf in batches:
-            at = 0
-            doc_ids = pdf["doc_id"].astype("Int64").tolist()
-            for texts in runs(pdf["text"]):
-                for enc in cache.encode(texts):
-                    ids.append(doc_ids[at])
-                    tokens.append(np.concatenate([enc, end]))
-                    at, size = at + 1, size + len(enc) + 1
-                    if size >= group_tokens:
-                        out, seq = pieces_of(ids, tokens, seq)
-                        yield out
-                        ids, tokens, size = [], [], 0
+            for doc_id, text in zip(pdf["doc_id"].astype("Int64").tolist(), pdf["text"]):
+                ids.append(doc_id)
+                tokens.append(np.concatenate([token_ids(ranks_path, text or ""), end]))
+                size += len(tokens[-1])
+                if size >= group_tokens:
+                    out, seq = pieces_of(ids, tokens, seq)
+                    yield out
+                    ids, tokens, size = [], [], 0
         if ids:
             yield pieces_of(ids, tokens, seq)[0]
 
     return docs.select("doc_id", "text").mapInPandas(run, SCHEMA)
 
 
-_CACHES: dict[str, IdCache] = {}
-
-
-def _cache(path: str) -> IdCache:
-    if path not in _CACHES:
-        _CACHES[path] = IdCache(path)
-    return _CACHES[path]
-
-
 @query("op5_packing")
 def op5(spark, sf_dir):
-    return pack(table(spark, sf_dir, "documents"), default_path(BYTE_BPE))
+    return pack(table(spark, sf_dir, "documents"), default_path(BYTE_RANKS))

@@ -16,15 +16,15 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from recsmith.plans import registry  # noqa: E402
+from recsmith.plans import model_q, registry  # noqa: E402
 from recsmith.session import local_session  # noqa: E402
 
 HEADLINE = [
-    "recommend_titles",
+    "top_titles",
     "export_ratings",
     "precision_recall_curve",
     "similar_items",
-    "recommend_run",
+    "build_rec_lists",
     "als_precision_recall",
     "extract_items",
     "extract_profile",
@@ -59,7 +59,7 @@ def main() -> None:
         if only and name not in only:
             continue
         t0 = time.perf_counter()
-        df = registry.QUERIES[name](spark, sf_dir)
+        df = (model_q.RAW.get(name) or registry.QUERIES[name])(spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)
         print(f"# {name}: {times[name]}s", file=sys.stderr, flush=True)

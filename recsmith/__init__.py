@@ -5,7 +5,7 @@ The main entry points, by stage (see README for the full map):
 - ingest: ``extract_items``, ``extract_profile``, ``new_ratings``, ``new_items``,
   ``assign_item_ids``, ``ingest_crawl``, ``discover_seeds``, ``stream_ingest_pages``
 - ratings: ``export_ratings``, ``active_users``, ``to_als_ratings``, ``split_ratings``
-- model: ``als_fit``, ``als_user_recs``, ``similar_items``, ``refresh_recommendations``
+- model: ``als_fit``, ``als_user_recs``, ``similar_items``, ``refresh_rec_lists``
 - evaluation: ``precision_recall_curve``, ``mse``, ``evaluate_als``, ``rank_grid``
 - serving: ``serve_user``, ``serve_similar``, ``rec_titles``
 """
@@ -20,12 +20,12 @@ from .operators.ratings import active_users, export_ratings, split_ratings, to_a
 from .operators.serve import rec_titles, serve_similar, serve_user  # noqa: E402
 from .operators.similarity import similar_items  # noqa: E402
 from .plans.crawl import discover_seeds, ingest_crawl  # noqa: E402
-from .plans.recommend import refresh_recommendations  # noqa: E402
+from .plans.refresh import refresh_rec_lists  # noqa: E402
 from .streaming.ingest import stream_ingest_pages  # noqa: E402
 
 __all__ = [
     "active_users", "als_fit", "als_user_recs", "assign_item_ids", "discover_seeds", "evaluate_als",
     "export_ratings", "extract_items", "extract_profile", "ingest_crawl", "mse", "new_items", "new_ratings",
-    "precision_recall_curve", "rank_grid", "rec_titles", "refresh_recommendations", "serve_similar",
+    "precision_recall_curve", "rank_grid", "rec_titles", "refresh_rec_lists", "serve_similar",
     "serve_user", "similar_items", "split_ratings", "stream_ingest_pages", "to_als_ratings",
 ]

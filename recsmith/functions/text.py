@@ -83,10 +83,11 @@ def page_url(base, start) -> Column:
     return F.concat(_c(base), F.lit("start="), _c(start).cast("string"), F.lit(tail))
 
 
-def page_offsets(n_pages, step: int = PAGE_STEP, inclusive: bool = False) -> Column:
-    """Offsets ``step * i`` for i in 0..n-1 (0..n with ``inclusive``)."""
+def page_offsets(n_pages, step: int = PAGE_STEP, inclusive: bool = False, first=0) -> Column:
+    """Offsets ``step * i`` for i in first..n-1 (..n with ``inclusive``)."""
+    first = F.lit(first) if isinstance(first, int) else _c(first)
     last = _c(n_pages) if inclusive else _c(n_pages) - 1
-    return F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: i * step)
+    return F.transform(F.sequence(first, F.greatest(last, first)), lambda i: i * step)
 
 
 def comment_page_url(subject_url, start) -> Column:

@@ -59,17 +59,18 @@ def new_items(batch: DataFrame, catalogue: DataFrame, url_col: str = "item_url",
 
 def attach_user_ids(rows: DataFrame, users: DataFrame, row_name: str = "user_name",
                     user_name: str = "name") -> DataFrame:
-    """User id by name; with duplicate names the lowest id wins."""
-    ids = users.groupBy(F.col(user_name).alias(row_name)).agg(F.min("user_id").alias("user_id"))
-    return rows.drop("user_id").join(ids, row_name, "inner")
+    """User id by normalised name (as in C4 and A9); of several users of
+    one name the lowest id wins."""
+    ids = users.groupBy(X.normalise_name(F.col(user_name)).alias("_n")).agg(F.min("user_id").alias("user_id"))
+    return (rows.drop("user_id").withColumn("_n", X.normalise_name(F.col(row_name)))
+            .join(ids, "_n", "inner").drop("_n"))
 
 
 def assign_item_ids(new_urls: DataFrame, catalogue: DataFrame, url_col: str = "item_url",
                     id_col: str = "item_id") -> DataFrame:
     """K3: ids for new catalogue rows, continuing after the largest stored
     id, in URL order (what AUTO_INCREMENT gives for inserts in that order)."""
-    base = catalogue.agg(F.max(id_col).alias("m")).first()["m"] or 0
-    return dense_ids(new_urls, url_col, base, id_col)
+    return dense_ids(new_urls, url_col, catalogue.agg(F.max(id_col).alias("m")), id_col)
 
 
 def crawl_status(ratings: DataFrame, users: DataFrame, quota: int = RATED_QUOTA, get_all: bool = False,
@@ -128,11 +129,10 @@ def page_worklist(profiles: DataFrame, status: DataFrame | None = None, key_col:
     slots = profiles.sparkSession.sparkContext.defaultParallelism
     desc = desc.repartition(slots, key_col, "_c")
     lo = F.col("_c") * chunk
-    hi = F.least(lo + chunk, F.greatest(F.col("_n"), F.lit(1))) - 1
-    pages = desc.select(key_col, base_col, F.explode(F.sequence(lo, hi)).alias("page"))
-    start = (F.col("page") * step).cast("int")
-    return pages.select(key_col, F.col("page").cast("int").alias("page"), start.alias("start"),
-                        X.page_url(F.col(base_col), start).alias("url"))
+    offsets = X.page_offsets(F.least(lo + chunk, F.col("_n")), step, first=lo)
+    pages = desc.select(key_col, base_col, F.explode(offsets).alias("start"))
+    return pages.select(key_col, (F.col("start") / step).cast("int").alias("page"), F.col("start").cast("int").alias("start"),
+                        X.page_url(F.col(base_col), F.col("start")).alias("url"))
 
 
 def seed_page_worklist(items: DataFrame, url_col: str = "item_url", key_col: str = "item_id",

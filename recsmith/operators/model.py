@@ -9,6 +9,10 @@ plain field projection.
 
 from __future__ import annotations
 
+import math
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, functions as F
 
@@ -26,7 +30,8 @@ USER_RECS = 20
 ITEM_RECS = 10
 RANK_GRID = (5, 10, 15, 20, 25)
 GRID_SPLITS = 5
-MAX_BLOCKS = 200
+GRID_THREADS = 4  # fits of the rank grid that run side by side
+BLOCK_ROOT = 10_000  # ratings a block holds when there is one; blocks grow with the root of the ratings
 
 
 def als(rank: int = MAIN_RANK, max_iter: int = MAX_ITER, reg_param: float = REG_PARAM, seed: int = 42,
@@ -40,6 +45,17 @@ def als(rank: int = MAIN_RANK, max_iter: int = MAX_ITER, reg_param: float = REG_
     return est
 
 
+def data_blocks(n_ratings: int) -> int:
+    """ALS user/item blocks, from the number of ratings alone.
+
+    The factor exchange between blocks grows with the square of their
+    number and the work of a block with its ratings, so the number follows
+    the root of the ratings. The cluster does not enter: the blocks are part
+    of the model, and one seed gives one model on any cluster.
+    """
+    return max(1, math.ceil(math.sqrt(n_ratings / BLOCK_ROOT)))
+
+
 def stable_layout(ratings: DataFrame, n_partitions: int) -> DataFrame:
     """Fixed input layout (hash by user, sorted within partitions): with a
     seed, ALS then gives the same factors run after run."""
@@ -50,17 +66,9 @@ def als_fit(ratings: DataFrame, rank: int = MAIN_RANK, seed: int = 42, max_iter:
             reg_param: float = REG_PARAM, n_blocks: int | None = None) -> ALSModel:
     """H1: fit on (userId, movieId, rating). The shared checkpoint folder
     is registered so that ALS can cut its lineage on long runs."""
-    spark = ratings.sparkSession
-    scratch_dir(spark)
-    if n_blocks is None:
-        n_blocks = default_blocks(spark)
-    return als(rank, max_iter, reg_param, seed, n_blocks).fit(ratings)
-
-
-def default_blocks(spark) -> int:
-    """ALS user/item blocks: one per task slot, capped (the factor exchange
-    between blocks grows with the block count)."""
-    return max(1, min(spark.sparkContext.defaultParallelism, MAX_BLOCKS))
+    scratch_dir(ratings.sparkSession)
+    n_blocks = n_blocks or data_blocks(ratings.count())
+    return als(rank, max_iter, reg_param, seed, n_blocks).fit(stable_layout(ratings, n_blocks))
 
 
 def item_factors(model: ALSModel) -> DataFrame:
@@ -100,7 +108,7 @@ def als_similar_items(model: ALSModel, n: int = ITEM_RECS, block_size: int | Non
     return similar_items(item_factors(model), n, id_col="id", vec_col="features", **kw)
 
 
-def recommend_run(ratings: DataFrame, rank: int = MAIN_RANK, user_n: int = USER_RECS, item_n: int = ITEM_RECS,
+def build_rec_lists(ratings: DataFrame, rank: int = MAIN_RANK, user_n: int = USER_RECS, item_n: int = ITEM_RECS,
                   users: bool = True, items: bool = True, seed: int = 42):
     """H6: fit once; return (user_recs, item_recs) in the stored list forms
     ``(user_id, item_ids)`` and ``(item_id, neighbour_ids)`` (either None
@@ -127,21 +135,22 @@ def evaluate_als(ratings: DataFrame, rank: int = EVAL_RANK, ks=E.K_GRID, seed: i
 def rank_grid(ratings: DataFrame, ranks=RANK_GRID, splits: int = GRID_SPLITS, seed: int = 42) -> DataFrame:
     """For each rank, ``splits`` random 80/20 splits; mean test MSE.
 
-    One distributed fit per (rank, split); the input is persisted once
-    for the whole grid. Returns (rank, mse) with one row per rank.
+    One distributed fit per (rank, split) over the input, which is written
+    once to the shared checkpoint folder. ``GRID_THREADS`` fits are submitted
+    side by side, so the cluster does not idle in the short stages of one.
+    Returns (rank, mse) with one row per rank.
     """
     spark = ratings.sparkSession
-    data = ratings.persist()
-    rows = []
-    try:
-        for r in ranks:
-            for t in range(splits):
-                train, test = data.randomSplit([0.8, 0.2], seed + t)
-                model = als_fit(train, r, seed + t)
-                m = E.mse(als_predict(model, test)).first()["mse"]
-                rows.append((int(r), t, float(m) if m is not None else None))
-    finally:
-        data.unpersist()
+    data = cut_lineage(ratings)
+
+    def fit_one(job):
+        r, t = job
+        train, test = data.randomSplit([0.8, 0.2], seed + t)
+        m = E.mse(als_predict(als_fit(train, r, seed + t), test)).first()["mse"]
+        return int(r), t, float(m) if m is not None else None
+
+    with ThreadPoolExecutor(GRID_THREADS) as pool:
+        rows = list(pool.map(inheritable_thread_target(spark)(fit_one), [(r, t) for r in ranks for t in range(splits)]))
     per_split = spark.createDataFrame(rows, "rank int, split int, mse double")
     return per_split.groupBy("rank").agg(F.avg("mse").alias("mse"))
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import ingest as I, pages as P
+from ..session import scratch_path
 from ..sources import markup as M, store as S, tables as T, text as TX
 from .oracle import ITEMS, RATINGS_FACTS, STORED, USERS, with_
 from .pages_q import PROFILES, PROFILE_SQL
@@ -21,6 +22,15 @@ CATALOGUE_BEFORE = "1995-04-01"
 PAGES_FROM = "1996-01-01"
 
 
+def _stored_name(c):
+    """A name as stored, with a blank; pages give it with the blank as '-'."""
+    return F.translate(c, "#", " ")
+
+
+def _page_name(c):
+    return F.translate(c, "#", "-")
+
+
 def _facts(spark, d):
     return T.ratings_facts(spark, d)
 
@@ -30,9 +40,9 @@ def _split(spark, d):
     return f.filter(T.stored_before()), f.filter(~T.stored_before())
 
 
-CANDIDATES = f"""cand AS (SELECT DISTINCT c.c_name AS user_name FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+CANDIDATES = f"""cand AS (SELECT DISTINCT replace(c.c_name, '#', '-') AS user_name FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
                     WHERE NOT ({STORED})),
-known AS (SELECT DISTINCT c.c_name AS name FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+known AS (SELECT DISTINCT replace(c.c_name, '#', ' ') AS name FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
           WHERE {STORED})"""
 
 
@@ -40,8 +50,8 @@ def _candidates(spark, d):
     o = T.table(spark, d, "orders")
     c = T.table(spark, d, "customer").select("c_custkey", "c_name")
     oc = o.join(c, o.o_custkey == c.c_custkey)
-    cand = oc.filter(~T.stored_before()).select(F.col("c_name").alias("user_name")).distinct()
-    known = oc.filter(T.stored_before()).select(F.col("c_name").alias("name")).distinct()
+    cand = oc.filter(~T.stored_before()).select(_page_name("c_name").alias("user_name")).distinct()
+    known = oc.filter(T.stored_before()).select(_stored_name("c_name").alias("name")).distinct()
     return cand, known
 
 
@@ -100,11 +110,11 @@ def q_assign_item_ids(spark, d):
 
 
 @query("attach_user_ids", with_(RATINGS_FACTS, USERS) + """
-SELECT f.item_url, f.user_name, f.score, u.user_id
+SELECT f.item_url, replace(f.user_name, '#', '-') AS user_name, f.score, u.user_id
 FROM ratings_facts f JOIN (SELECT name, min(user_id) AS user_id FROM users GROUP BY name) u ON f.user_name = u.name""")
 def q_attach_user_ids(spark, d):
-    rows = _facts(spark, d).select("item_url", "user_name", "score")
-    return I.attach_user_ids(rows, T.users_table(spark, d))
+    rows = _facts(spark, d).select("item_url", _page_name("user_name").alias("user_name"), "score")
+    return I.attach_user_ids(rows, T.users_table(spark, d).withColumn("name", _stored_name("name")))
 
 
 CRAWL_STATUS = with_(RATINGS_FACTS, USERS) + f"""
@@ -188,21 +198,25 @@ def q_page_worklist(spark, d):
 
 @query("upsert_user_totals", with_(USERS, PROFILES) + f"""
 , prof AS ({PROFILE_SQL.strip()}),
-old AS (SELECT * FROM users WHERE user_id IN (SELECT o_custkey FROM orders WHERE {STORED})),
-p1 AS (SELECT replace(user_name, ' ', '-') AS n, min(struct_pack(nm := user_name, t := declared_total)) AS b
+old AS (SELECT * REPLACE (replace(name, '#', ' ') AS name) FROM users
+        WHERE user_id IN (SELECT o_custkey FROM orders WHERE {STORED})),
+p1 AS (SELECT replace(user_name, '#', '-') AS n,
+              min(struct_pack(nm := replace(user_name, '#', '-'), t := declared_total,
+                              h := '{T.USER_URL_PREFIX}' || CAST(page_id AS VARCHAR) || '/collect?')) AS b
        FROM prof GROUP BY 1),
 kept AS (SELECT o.user_id, o.name, CAST(coalesce(p1.b.t, o.declared_total) AS INT) AS declared_total, o.home_url
          FROM old o LEFT JOIN p1 ON replace(o.name, ' ', '-') = p1.n),
 fresh AS (SELECT * FROM p1 WHERE n NOT IN (SELECT replace(name, ' ', '-') FROM old))
 SELECT * FROM kept UNION ALL
 SELECT CAST((SELECT max(user_id) FROM old) + row_number() OVER (ORDER BY n) AS INT) AS user_id, b.nm AS name,
-       CAST(b.t AS INT) AS declared_total, '' AS home_url FROM fresh""")
+       CAST(b.t AS INT) AS declared_total, b.h AS home_url FROM fresh""")
 def q_upsert_user_totals(spark, d):
     users = T.users_table(spark, d)
     o = T.table(spark, d, "orders").filter(T.stored_before()).select(F.col("o_custkey").cast("int").alias("user_id"))
     old = users.join(o.distinct(), "user_id", "left_semi")
-    prof = P.extract_profile(M.profile_pages(spark, d)).withColumn("home_url", F.lit(""))
-    return S.upsert_user_totals(old, prof)
+    prof = P.extract_profile(M.profile_pages(spark, d), keep=("url",)).select(
+        _page_name("user_name").alias("user_name"), "declared_total", F.col("url").alias("home_url"))
+    return S.upsert_user_totals(old.withColumn("name", _stored_name("name")), prof)
 
 
 @query("append_new_rows", with_(RATINGS_FACTS) + f"""
@@ -216,12 +230,18 @@ def q_append_new_rows(spark, d):
     return S.append_new_rows(stored.select(*cols), batch.select(*cols), ["item_url", "user_id"])
 
 
+def _seed_rows(spark, d):
+    return T.users_table(spark, d).select(F.concat("home_url", F.lit("?")).alias("collect_url"),
+                                          _page_name("name").alias("user_name"))
+
+
 @query("format_seed_list", with_(USERS) + f"""
 SELECT home_url || '?' || ' ' || replace(name, '#', '-') AS value FROM users""")
 def q_format_seed_list(spark, d):
-    u = T.users_table(spark, d)
-    return TX.format_seed_lines(u.select(F.concat("home_url", F.lit("?")).alias("collect_url"),
-                                        F.translate("name", "#", "-").alias("user_name")))
+    # Written by A5's sink and read back as plain lines.
+    path = scratch_path(spark, "seed-lines")
+    TX.format_seed_list(_seed_rows(spark, d), path)
+    return spark.read.text(path)
 
 
 @query("parse_seed_list", with_(USERS) + """
@@ -229,12 +249,12 @@ SELECT url, min(name) AS name FROM (
   SELECT home_url || '?' AS url, replace(name, '#', '-') AS name FROM users
   UNION ALL SELECT home_url || '?' AS url, replace(name, '#', '-') AS name FROM users) GROUP BY url""")
 def q_parse_seed_list(spark, d):
-    # Lines written by A5 (every user twice, with extra blanks) read back by A2.
-    u = T.users_table(spark, d)
-    lines = TX.format_seed_lines(u.select(F.concat("home_url", F.lit("?")).alias("collect_url"),
-                                          F.translate("name", "#", "-").alias("user_name")))
-    noisy = lines.select(F.concat(F.lit("  "), F.regexp_replace("value", " ", "   "), F.lit(" ")).alias("value"))
-    return TX.parse_seed_lines(lines.unionByName(noisy))
+    # Files written by A5 (every user twice, once with extra blanks), scanned by A2.
+    path, lines = scratch_path(spark, "seed-list"), TX.format_seed_lines(_seed_rows(spark, d))
+    TX.write_lines(lines, path)
+    TX.write_lines(lines.select(F.concat(F.lit("  "), F.regexp_replace("value", " ", "   "), F.lit(" ")).alias("value")),
+                   path)
+    return TX.parse_seed_list(spark, path)
 
 
 @query("seed_page_worklist", with_(ITEMS) + """

@@ -1,112 +1,219 @@
 """Registered queries: ALS.
 
-SQL cannot run ALS, so these have no oracle; pytest checks their
-invariants (sizes, order, prediction = factor dot product, repeatability).
-Input: the export of active users' ratings (E1), as in the reference.
+SQL cannot run ALS, but it can tell what must hold of its output. Each
+query runs its operator over all rated pairs with the main run's settings
+and returns the output's keys with what was checked of each: lengths, order,
+and values recomputed from the factors. ``RAW`` has the outputs themselves.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from ..operators import evaluate as E, model as M, ratings as R
-from ..sources import tables as T
-from .ratings_q import MIN_ROWS, PER_USER
+from ..operators import evaluate as E, model as M, ratings as R, serve as V
+from ..operators.similarity import cosine
+from ..session import scratch_path
+from ..sources import store as ST, tables as T
+from .evaluation_q import SPLIT
+from .oracle import RATING_EVENTS, RATINGS_BASE, with_
+from .refresh import refresh_rec_lists
 from .registry import query
+from .serving_q import OLD_I, OLD_U, item_lists, user_lists
 
-RANK = 10
 SEED = 42
+TITLES = 10
 
+RATED = RATINGS_BASE + """,
+rated AS (SELECT * FROM ratings_base WHERE score > 0),
+n AS (SELECT count(DISTINCT user_id) AS users, count(DISTINCT item_id) AS items FROM rated)"""
 
-def als_input(spark, d):
-    return R.to_als_ratings(R.export_ratings(T.ratings_base(spark, d), MIN_ROWS, PER_USER))
 
+def als_input(spark, d) -> DataFrame:
+    """All rated pairs."""
+    return R.to_als_ratings(R.rated_only(T.ratings_base(spark, d)))
 
-def _fit(spark, d, rank=RANK):
-    return M.als_fit(als_input(spark, d), rank=rank, seed=SEED)
 
+def _fit(spark, d):
+    return M.als_fit(als_input(spark, d), seed=SEED)
 
-@query("als_fit")
-def q_als_fit(spark, d):
-    return M.item_factors(_fit(spark, d))
 
+def _descending(recs: DataFrame, key: str) -> DataFrame:
+    """(key, n_ids, descending): length of each list, and whether its scores fall."""
+    score = F.col("recommendations.rating")
+    return recs.select(F.col(key).alias("id"), F.size("recommendations").alias("n_ids"),
+                       (F.sort_array(score, False) == score).alias("descending"))
 
-@query("als_predict")
-def q_als_predict(spark, d):
-    data = als_input(spark, d)
-    train, test = R.split_ratings(data, user_col="userId", item_col="movieId")
-    return M.als_predict(M.als_fit(train, RANK, SEED), test)
 
+# --- the outputs themselves -------------------------------------------------------------------------------
 
-@query("als_user_recs")
-def q_als_user_recs(spark, d):
-    return M.als_user_recs(_fit(spark, d), M.USER_RECS)
+def top_titles(spark, d, n: int = TITLES) -> DataFrame:
+    """The headline flow: all rated pairs -> ALS -> top-n items per user ->
+    titles. Output (user_id, pos, item_id, title)."""
+    return V.rec_titles(M.als_user_recs(_fit(spark, d), n), T.items_table(spark, d))
 
 
-@query("rec_ids")
-def q_rec_ids(spark, d):
-    return M.rec_ids(_fit(spark, d).recommendForAllUsers(5))
+def build_rec_lists(spark, d) -> DataFrame:
+    users, items = M.build_rec_lists(als_input(spark, d), seed=SEED)
+    return (users.select(F.lit("user").alias("kind"), F.col("user_id").alias("key"), F.col("item_ids").alias("ids"))
+            .unionByName(items.select(F.lit("item").alias("kind"), F.col("item_id").alias("key"),
+                                      F.col("neighbour_ids").alias("ids"))))
 
 
-@query("als_subset_recs")
-def q_als_subset_recs(spark, d):
-    data = als_input(spark, d)
-    train, test = R.split_ratings(data, user_col="userId", item_col="movieId")
-    return M.als_subset_recs(M.als_fit(train, RANK, SEED), test, 10)
-
+def als_precision_recall(spark, d) -> DataFrame:
+    return M.evaluate_als(als_input(spark, d), rank=M.EVAL_RANK, ks=E.K_GRID, seed=SEED)
 
-@query("als_item_audience")
-def q_als_item_audience(spark, d):
-    return M.als_item_audience(_fit(spark, d), 10)
 
+RAW = {"top_titles": top_titles, "build_rec_lists": build_rec_lists, "als_precision_recall": als_precision_recall}
 
-@query("als_similar_items")
-def q_als_similar_items(spark, d):
-    return M.als_similar_items(_fit(spark, d), M.ITEM_RECS)
 
+# --- the queries ------------------------------------------------------------------------------------------
 
-@query("recommend_run")
-def q_recommend_run(spark, d):
-    users, items = M.recommend_run(als_input(spark, d), rank=RANK, seed=SEED)
-    return (users.select(F.lit("user").alias("kind"), F.col("user_id").alias("key"), F.col("item_ids").alias("ids"))
-            .unionByName(items.select(F.lit("item").alias("kind"), F.col("item_id").alias("key"),
-                                      F.col("neighbour_ids").alias("ids"))))
+@query("als_fit", with_(RATED) + "SELECT DISTINCT user_id, true AS solved FROM rated")
+def q_als_fit(spark, d):
+    # The last half-step solves each user's regularised normal equation
+    # against the final item factors: sum of (x.f - r) f over the user's
+    # items, plus reg * (number of ratings) * x, must vanish.
+    model = _fit(spark, d)
+    items = M.item_factors(model).select(F.col("id").alias("movieId"), F.col("features").alias("f"))
+    users = model.userFactors.select(F.col("id").alias("userId"), F.col("features").alias("x"))
+    dot = F.aggregate(F.zip_with("x", "f", lambda a, b: a.cast("double") * b), F.lit(0.0), lambda s, v: s + v)
+    rows = als_input(spark, d).join(items, "movieId").join(users, "userId")
+    parts = rows.withColumn("e", dot - F.col("rating")).select(
+        "userId", "e", "rating", F.posexplode(F.arrays_zip("x", "f")).alias("dim", "v"))
+    sums = parts.groupBy("userId", "dim").agg(
+        F.sum(F.col("e") * F.col("v.f") + M.REG_PARAM * F.col("v.x")).alias("left"),
+        F.sum(F.abs(F.col("rating") * F.col("v.f"))).alias("scale"))
+    return sums.groupBy(F.col("userId").cast("bigint").alias("user_id")).agg(
+        (F.max(F.abs("left") / F.greatest("scale", F.lit(1.0))) < 1e-3).alias("solved"))
+
+
+@query("als_predict", with_(SPLIT) + """
+SELECT user_id, item_id, true AS is_dot FROM test
+WHERE user_id IN (SELECT user_id FROM train) AND item_id IN (SELECT item_id FROM train)""")
+def q_als_predict(spark, d):
+    train, test = R.split_ratings(als_input(spark, d), user_col="userId", item_col="movieId")
+    model = M.als_fit(train, seed=SEED)
+    got = (M.als_predict(model, test)
+           .join(model.userFactors.select(F.col("id").alias("userId"), F.col("features").alias("x")), "userId")
+           .join(M.item_factors(model).select(F.col("id").alias("movieId"), F.col("features").alias("f")), "movieId"))
+    dot = F.aggregate(F.zip_with("x", "f", lambda a, b: a.cast("double") * b), F.lit(0.0), lambda s, v: s + v)
+    return got.select(F.col("userId").cast("bigint").alias("user_id"), F.col("movieId").cast("bigint").alias("item_id"),
+                      (F.abs(F.col("prediction") - dot) < 1e-4).alias("is_dot"))
+
+
+@query("als_user_recs", with_(RATED) + f"""
+SELECT DISTINCT user_id, CAST(least({M.USER_RECS}, items) AS INT) AS n_ids, true AS descending FROM rated, n""")
+def q_als_user_recs(spark, d):
+    model = _fit(spark, d)
+    ids = M.als_user_recs(model).select(F.col("user_id").alias("id"), F.size(F.array_distinct("item_ids")).alias("n_ids"))
+    order = _descending(model.recommendForAllUsers(M.USER_RECS), "userId").select("id", "descending")
+    return ids.join(order, "id").select(F.col("id").cast("bigint").alias("user_id"), "n_ids", "descending")
 
 
-@query("als_precision_recall")
-def q_als_precision_recall(spark, d):
-    return M.evaluate_als(als_input(spark, d), rank=M.EVAL_RANK, ks=E.K_GRID, seed=SEED)
+@query("rec_ids", with_(RATED) + f"""
+SELECT DISTINCT user_id, CAST(least({M.USER_RECS}, items) AS INT) AS n_ids, true AS best_first FROM rated, n""")
+def q_rec_ids(spark, d):
+    recs = _fit(spark, d).recommendForAllUsers(M.USER_RECS)
+    best = recs.select("userId", F.col("recommendations")[0]["movieId"].alias("best"))
+    return M.rec_ids(recs).join(best, "userId").select(
+        F.col("userId").cast("bigint").alias("user_id"), F.size("item_ids").alias("n_ids"),
+        (F.col("item_ids")[0] == F.col("best")).alias("best_first"))
 
 
-@query("rank_grid")
-def q_rank_grid(spark, d):
-    return M.rank_grid(als_input(spark, d), ranks=(5, 10), splits=2, seed=SEED)
+@query("als_subset_recs", with_(SPLIT) + f"""
+SELECT DISTINCT user_id, CAST(least({M.USER_RECS}, (SELECT count(DISTINCT item_id) FROM train)) AS INT) AS n_ids,
+       true AS descending
+FROM test WHERE user_id IN (SELECT user_id FROM train)""")
+def q_als_subset_recs(spark, d):
+    train, test = R.split_ratings(als_input(spark, d), user_col="userId", item_col="movieId")
+    got = _descending(M.als_subset_recs(M.als_fit(train, seed=SEED), test, M.USER_RECS), "userId")
+    return got.select(F.col("id").cast("bigint").alias("user_id"), "n_ids", "descending")
 
 
-@query("best_rank")
-def q_best_rank(spark, d):
-    return M.best_rank(M.rank_grid(als_input(spark, d), ranks=(5, 10), splits=2, seed=SEED))
+@query("als_item_audience", with_(RATED) + f"""
+SELECT DISTINCT item_id, CAST(least({M.USER_RECS}, users) AS INT) AS n_ids FROM rated, n""")
+def q_als_item_audience(spark, d):
+    return M.als_item_audience(_fit(spark, d)).select(
+        F.col("item_id").cast("bigint").alias("item_id"), F.size(F.array_distinct("user_ids")).alias("n_ids"))
 
 
-def recommend_titles(spark, d, n: int = 10, rank: int = RANK):
-    """The headline flow: export of active users' ratings -> ALS -> top-n
-    items per user -> titles. Output (user_id, pos, item_id, title)."""
-    from ..operators import serve as V
-    user_recs = M.als_user_recs(_fit(spark, d, rank), n)
-    return V.rec_titles(user_recs, T.items_table(spark, d))
+@query("als_similar_items", with_(RATED) + f"""
+SELECT DISTINCT item_id, least({M.ITEM_RECS}, items - 1) AS n_ids, true AS is_cosine, true AS descending, true AS not_self
+FROM rated, n""")
+def q_als_similar_items(spark, d):
+    model = _fit(spark, d)
+    got = M.als_similar_items(model)
+    f = M.item_factors(model).select(F.col("id").cast("bigint").alias("id"), "features")
+    pairs = (got.join(f.withColumnsRenamed({"id": "item_id", "features": "a"}), "item_id")
+             .join(f.withColumnsRenamed({"id": "neighbour_id", "features": "b"}), "neighbour_id"))
+    return pairs.withColumn("cos", cosine("a", "b")).groupBy("item_id").agg(
+        F.count(F.lit(1)).alias("n_ids"), F.bool_and(F.abs(F.col("cos") - F.col("sim")) < 1e-6).alias("is_cosine"),
+        (F.array_sort(F.collect_list(F.struct("rank", "sim")))["sim"]
+         == F.sort_array(F.collect_list("sim"), False)).alias("descending"),
+        F.bool_and(F.col("item_id") != F.col("neighbour_id")).alias("not_self"))
+
+
+@query("build_rec_lists", with_(RATED) + f"""
+SELECT 'user' AS kind, user_id AS key, CAST(least({M.USER_RECS}, items) AS INT) AS n_ids FROM rated, n GROUP BY ALL
+UNION ALL SELECT 'item', item_id, CAST(least({M.ITEM_RECS}, items - 1) AS INT) FROM rated, n GROUP BY ALL""")
+def q_build_rec_lists(spark, d):
+    return build_rec_lists(spark, d).select("kind", F.col("key").cast("bigint").alias("key"),
+                                            F.size(F.array_distinct("ids")).alias("n_ids"))
+
+
+@query("als_precision_recall", with_(SPLIT) + f"""
+, u AS (SELECT user_id, count(*) AS n FROM test WHERE user_id IN (SELECT user_id FROM train) GROUP BY user_id)
+SELECT k, CAST((SELECT count(*) FROM u) * least(k, (SELECT count(DISTINCT item_id) FROM train)) AS BIGINT) AS n_rec,
+       CAST((SELECT sum(n) FROM u) AS BIGINT) AS n_test, true AS consistent
+FROM (SELECT unnest({list(E.K_GRID)}) AS k)""")
+def q_als_precision_recall(spark, d):
+    return als_precision_recall(spark, d).select(
+        "k", "n_rec", "n_test",
+        ((F.abs(F.col("precision") * F.col("n_rec") / 100 - F.col("hits")) < 1e-6)
+         & (F.abs(F.col("recall") * F.col("n_test") / 100 - F.col("hits")) < 1e-6)
+         & (F.col("hits") <= F.least("n_rec", "n_test"))).alias("consistent"))
 
 
-@query("recommend_titles")
-def q_recommend_titles(spark, d):
-    return recommend_titles(spark, d)
+@query("rank_grid", f"SELECT unnest({list(M.RANK_GRID)}) AS rank, true AS finite")
+def q_rank_grid(spark, d):
+    grid = M.rank_grid(als_input(spark, d), seed=SEED)
+    return grid.select("rank", (F.col("mse").isNotNull() & ~F.isnan("mse") & (F.col("mse") > 0)
+                                & (F.col("mse") < 1e6)).alias("finite"))
 
 
-@query("refresh_recommendations")
-def q_refresh_recommendations(spark, d):
-    """Stored user lists after a refresh, in the stored text form."""
-    from ..functions.codec import encode_id_list
-    from ..session import scratch_path
-    from .recommend import refresh_recommendations
-    paths = refresh_recommendations(spark, als_input(spark, d), scratch_path(spark, "recs-store"), rank=RANK,
-                                    seed=SEED)
-    return spark.read.parquet(paths["user_recs"]).select("user_id", encode_id_list("item_ids").alias("item_ids"))
+@query("best_rank", "SELECT true AS is_least, true AS in_grid")
+def q_best_rank(spark, d):
+    grid = M.rank_grid(als_input(spark, d), seed=SEED)
+    rows = grid.select("rank", "mse").persist()  # one row per rank
+    best = M.best_rank(rows).select(F.col("rank").alias("best"), F.col("mse").alias("least"))
+    return rows.join(F.broadcast(best), F.col("rank") == F.col("best")).select(
+        (F.col("mse") == F.col("least")).alias("is_least"), F.col("rank").isin(*M.RANK_GRID).alias("in_grid"))
+
+
+@query("top_titles", with_(RATED) + f"""
+SELECT DISTINCT user_id, least({TITLES}, items) AS n_titles, true AS titled FROM rated, n""")
+def q_top_titles(spark, d):
+    names = T.items_table(spark, d).select("item_id", F.col("name").alias("stored"))
+    return top_titles(spark, d).join(names, "item_id").groupBy(F.col("user_id").cast("bigint").alias("user_id")).agg(
+        F.count(F.lit(1)).alias("n_titles"), F.bool_and(F.col("title").eqNullSafe(F.col("stored"))).alias("titled"))
+
+
+@query("refresh_rec_lists", with_(RATINGS_BASE, RATING_EVENTS, OLD_U, OLD_I) + f"""
+, rated AS (SELECT * FROM ratings_base WHERE score > 0),
+n AS (SELECT count(DISTINCT item_id) AS items FROM rated)
+SELECT 'user' AS kind, user_id AS key, CAST(least({M.USER_RECS}, items) AS INT) AS n_ids
+FROM (SELECT DISTINCT user_id FROM rated), n
+UNION ALL SELECT 'item', item_id, CAST(least({M.ITEM_RECS}, items - 1) AS INT) FROM (SELECT DISTINCT item_id FROM rated), n
+UNION ALL SELECT 'user', user_id, CAST(len(ids) AS INT) FROM old_u WHERE user_id NOT IN (SELECT user_id FROM rated)
+UNION ALL SELECT 'item', item_id, CAST(len(ids) AS INT) FROM old_i WHERE item_id NOT IN (SELECT item_id FROM rated)""")
+def q_refresh_rec_lists(spark, d):
+    """Both stored tables after a refresh over older snapshots: new lists win, other keys stay."""
+    root = scratch_path(spark, "recs-store")
+    old_u = ST.write_snapshot(user_lists(spark, d, "old"), f"{root}/user_recs")
+    old_i = ST.write_snapshot(item_lists(spark, d, "old"), f"{root}/item_recs")
+    paths = refresh_rec_lists(spark, als_input(spark, d), root, old_u, old_i, seed=SEED)
+    out = [spark.read.parquet(paths[t]).select(F.lit(kind).alias("kind"), F.col(key).cast("bigint").alias("key"),
+                                               F.size(ids).alias("n_ids"))
+           for t, kind, key, ids in (("user_recs", "user", "user_id", "item_ids"),
+                                     ("item_recs", "item", "item_id", "neighbour_ids"))]
+    return out[0].unionByName(out[1])

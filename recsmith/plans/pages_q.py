@@ -16,7 +16,7 @@ IP = T.ITEM_URL_PREFIX
 
 LINES = """lines AS (SELECT l.*, o.o_custkey FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)"""
 
-ITEM_BLOCK = """'<div class="item"><div class="pic"><a class="nbg" title="' || name || '" href="' || item_url
+ITEM_BLOCK = """'<div class="{css}"><div class="pic"><a class="nbg" title="' || name || '" href="' || item_url
     || '"></a></div><div class="info"><a href="' || item_url || '"><em>' || name
     || '</em></a><ul><li class="intro">' || summary || '</li><li>' || {rating} || '</li></ul></div></div>'"""
 
@@ -28,14 +28,14 @@ COLLECTION = LINES + f""",
 cat AS (SELECT CAST(p_partkey AS INT) AS item_id, p_name AS name, p_type AS summary,
                '{IP}' || CAST(p_partkey AS VARCHAR) || '/' AS item_url FROM part),
 cpages AS (
-  SELECT l_orderkey AS page_id, '<div class="article">' || {ITEM_BLOCK.format(rating=RATING_CLASS)}
-         || {ITEM_BLOCK.format(rating="''")} || '</div>' AS html
+  SELECT l_orderkey AS page_id, '<div class="article">' || {ITEM_BLOCK.format(rating=RATING_CLASS, css="item")}
+         || {ITEM_BLOCK.format(rating="''", css="item odd")} || '</div>' AS html
   FROM lines JOIN cat ON l_partkey = item_id)"""
 
 COMMENTS = LINES + f""",
 mpages AS (
   SELECT l_orderkey AS page_id,
-    '<div class="comment-item"><span class="comment-info"><a href="{UP}' || CAST(s_suppkey AS VARCHAR)
+    '<div class="first comment-item"><span class="comment-info"><a href="{UP}' || CAST(s_suppkey AS VARCHAR)
     || '/">' || replace(s_name, '#', ' ') || '</a></span><p>' || CAST(l_quantity AS VARCHAR)
     || '</p></div><div class="comment-item"><p>no link</p></div>' AS html
   FROM lines JOIN supplier ON l_suppkey = s_suppkey)"""
@@ -46,13 +46,14 @@ USER_COUNTS = """ucnt AS (
            AS n_rated
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_custkey)"""
 
-PROFILES = USER_COUNTS + """,
+PROFILES = USER_COUNTS + f""",
 ppages AS (
   SELECT c_custkey AS page_id,
     '<div class="info"><h1>' || c_name || ' watched (' || CAST(n_all AS VARCHAR)
     || ')</h1></div><div class="side-info-txt"><h3>' || c_name || '</h3></div>'
     || CASE WHEN CAST(ceil(n_all / 15) AS INT) >= 2 THEN '<div class="paginator">'
-         || array_to_string(list_transform(range(1, CAST(ceil(n_all / 15) AS INT) + 1),
+         || array_to_string(list_transform(list_append(range(1, greatest(least(CAST(ceil(n_all / 15) AS INT) - 1, {M.PAGE_LINKS}), 1) + 1),
+                                                       CAST(ceil(n_all / 15) AS BIGINT)),
               lambda i: '<a href="?start=' || CAST((i - 1) * 15 AS VARCHAR) || '">' || CAST(i AS VARCHAR) || '</a>'), '')
          || '<a href="#">next</a></div>' ELSE '' END AS html
   FROM customer JOIN ucnt ON c_custkey = user_id)"""
@@ -61,9 +62,9 @@ HOMES = USER_COUNTS + f""",
 hpages AS (
   SELECT c_custkey AS page_id,
     CASE WHEN c_acctbal >= 0 THEN
-      '<div id="movie"><span class="pl"><a href="{UP}' || CAST(c_custkey AS VARCHAR) || '/wish">'
+      '<div id="movie"><div class="hd"></div><span class="pl"><a href="{UP}' || CAST(c_custkey AS VARCHAR) || '/wish">'
       || CAST(n_all * 30 AS VARCHAR) || ' wished</a></span><span class="pl"><a href="{UP}'
-      || CAST(c_custkey AS VARCHAR) || '/collect">' || CAST(n_rated * 30 AS VARCHAR) || ' watched</a></span></div>'
+      || CAST(c_custkey AS VARCHAR) || '/collect">' || CAST(n_rated * 30 AS VARCHAR) || ' watched</a></span></div><div id="book"></div>'
     ELSE '<div id="book"></div>' END AS html
   FROM customer JOIN ucnt ON c_custkey = user_id)"""
 
@@ -71,7 +72,7 @@ hpages AS (
 def _blocks_sql(src: str, marker: str) -> str:
     return f"""blk AS (SELECT page_id, CAST(pos AS INTEGER) AS pos, block FROM (
   SELECT page_id, unnest(range(len(parts) - 1)) AS pos, unnest(parts[2:]) AS block
-  FROM (SELECT page_id, string_split(html, '{marker}') AS parts FROM {src})))"""
+  FROM (SELECT page_id, string_split_regex(html, '{marker}') AS parts FROM {src})))"""
 
 
 # --- J1 ---------------------------------------------------------------------------------
@@ -176,7 +177,7 @@ HOME_LINKS = r"""hl AS (
     SELECT page_id,
       regexp_extract_all(sec, '<span class="pl">\s*<a href="([^"]*)"[^>]*>([^<]*)</a>', 1) AS hrefs,
       regexp_extract_all(sec, '<span class="pl">\s*<a href="([^"]*)"[^>]*>([^<]*)</a>', 2) AS texts
-    FROM (SELECT page_id, regexp_extract(html, '<div id="movie">([\s\S]*?)</div>', 1) AS sec FROM hpages)))"""
+    FROM (SELECT page_id, regexp_extract(html, '<div id="movie">([\s\S]*?)(?:<div id="|\z)', 1) AS sec FROM hpages)))"""
 
 
 @query("extract_collection_link", with_(HOMES, HOME_LINKS) + r"""
@@ -230,7 +231,7 @@ def q_extract_attr(spark, d):
 @query("extract_score", with_(LINES) + f""",
 cat AS (SELECT CAST(p_partkey AS INT) AS item_id, p_name AS name, p_type AS summary,
                '{IP}' || CAST(p_partkey AS VARCHAR) || '/' AS item_url FROM part),
-snip AS (SELECT l_orderkey AS page_id, {ITEM_BLOCK.format(rating=RATING_CLASS)} AS s
+snip AS (SELECT l_orderkey AS page_id, {ITEM_BLOCK.format(rating=RATING_CLASS, css="item")} AS s
          FROM lines JOIN cat ON l_partkey = item_id)
 SELECT page_id, s, coalesce(TRY_CAST(nullif(regexp_extract(s, 'rating(\\d+)-t', 1), '') AS INT), 0) AS score
 FROM snip""")
@@ -262,11 +263,5 @@ FROM (SELECT page_id, unnest(range(CAST(ceil(n_all / 15) AS INT))) AS i FROM ppa
 def q_page_url(spark, d):
     prof = P.extract_profile(M.profile_pages(spark, d))
     base = F.concat(F.lit(UP), F.col("page_id").cast("string"), F.lit("/collect?"))
-    return prof.select("page_id", base.alias("base"), F.explode(X.page_offsets("page_count")).alias("start")) \
-        .select("page_id", X.page_url(F.col("base"), F.col("start")).alias("url"))
-
-
-@query("extract_items_parsed", ORACLE_EXTRACT_ITEMS)
-def q_extract_items_parsed(spark, d):
-    # The parser form of J1 must give exactly what the marker form gives.
-    return P.extract_items_parsed(M.collection_pages(spark, d))
+    todo = prof.select("page_id", base.alias("base"), "page_count")
+    return I.page_worklist(todo, key_col="page_id", base_col="base").select("page_id", "url")

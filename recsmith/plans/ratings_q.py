@@ -121,10 +121,13 @@ def q_drop_unknown_items(spark, d):
     return R.drop_unknown_items(facts.join(known, "item_url", "left"))
 
 
-@query("lookup_by_key", with_(ITEMS) + """
-SELECT * FROM items WHERE item_url = 'https://items.example.org/subject/7/'""")
+@query("lookup_by_key", """
+SELECT p_partkey AS item_id, p_name AS name, p_type AS summary FROM part WHERE p_partkey = 7""")
 def q_lookup_by_key(spark, d):
-    return R.lookup_by_key(T.items_table(spark, d), item_url=f"{T.ITEM_URL_PREFIX}7/")
+    # By a stored column, so the parquet scan gets the filter.
+    stored = T.table(spark, d, "part").select(F.col("p_partkey").alias("item_id"), F.col("p_name").alias("name"),
+                                              F.col("p_type").alias("summary"))
+    return R.lookup_by_key(stored, item_id=7)
 
 
 @query("distinct_items", with_(RATINGS_FACTS) + """

@@ -14,12 +14,12 @@ from ..operators import model as M
 from ..sources import store as ST
 
 
-def refresh_recommendations(spark: SparkSession, ratings: DataFrame, store_root: str,
+def refresh_rec_lists(spark: SparkSession, ratings: DataFrame, store_root: str,
                             user_snapshot: str | None = None, item_snapshot: str | None = None,
                             rank: int = M.MAIN_RANK, user_n: int = M.USER_RECS, item_n: int = M.ITEM_RECS,
                             seed: int = 42) -> dict[str, str]:
     """Returns the paths of the new ``user_recs`` and ``item_recs`` snapshots."""
-    users, items = M.recommend_run(ratings, rank, user_n, item_n, seed=seed)
+    users, items = M.build_rec_lists(ratings, rank, user_n, item_n, seed=seed)
     root = store_root.rstrip("/")
     return {
         "user_recs": ST.upsert_snapshot(spark, user_snapshot, users, "user_id", f"{root}/user_recs"),

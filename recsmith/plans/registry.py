@@ -11,9 +11,6 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
 
-# The query entry() runs.
-FLAGSHIP = "recommend_titles"
-
 
 def query(name: str, sql: str | None = None):
     """Register ``fn(spark, sf_dir) -> DataFrame`` under ``name``; ``sql`` is

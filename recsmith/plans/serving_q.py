@@ -1,9 +1,10 @@
 """Registered queries: stored lists, codecs, upserts and serving (A1, A4,
 A7, A8, C2, C3, E6, G6, G7, G18, H5, H7).
 
-Stand-in lists: a user's list is the first 5 items (by id) they rated, an
-item's list the first 5 users (by id) who rated it; 'old' lists come from
-orders before 1997, 'new' ones from the later orders.
+Stand-in lists, as long as the stored ones: a user's list is the first 20
+items (by id) they rated, an item's list the first 10 users (by id) who
+rated it; 'old' lists come from orders before 1997, 'new' ones from the
+later orders.
 """
 
 from __future__ import annotations
@@ -12,13 +13,14 @@ from pyspark.sql import functions as F
 
 from ..functions import codec as C, text as X
 from ..operators import ratings as R, serve as V, similarity as S
+from ..operators.model import ITEM_RECS, USER_RECS
 from ..session import scratch_path
 from ..sources import store as ST, tables as T, text as TX
 from .oracle import ITEMS, RATING_EVENTS, STORED, USERS, with_
 from .registry import query
 from .similarity_q import TOPN
 
-N_LIST = 5
+N_LIST = {"user_id": USER_RECS, "item_id": ITEM_RECS}
 
 
 def _lists(spark, d, key, other, part=None):
@@ -28,7 +30,7 @@ def _lists(spark, d, key, other, part=None):
     elif part == "new":
         ev = ev.filter(~T.stored_before())
     pairs = ev.select(F.col(key).cast("int").alias("k"), F.col(other).cast("int").alias("o")).distinct()
-    first = R.per_key_first_n(pairs, ["k"], [F.col("o")], N_LIST)
+    first = R.per_key_first_n(pairs, ["k"], [F.col("o")], N_LIST[key])
     return first.groupBy("k").agg(F.array_sort(F.collect_list("o")).alias("ids"))
 
 
@@ -46,7 +48,7 @@ def lists_sql(name, key, other, where) -> str:
     return f"""{name} AS (SELECT CAST({key} AS INT) AS {key}, list(CAST({other} AS INT) ORDER BY {other}) AS ids
   FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {other}) AS rn
         FROM (SELECT DISTINCT {key}, {other} FROM rating_events WHERE {where}))
-  WHERE rn <= {N_LIST} GROUP BY {key})"""
+  WHERE rn <= {N_LIST[key]} GROUP BY {key})"""
 
 
 NEW_U = lists_sql("new_u", "user_id", "item_id", f"NOT ({STORED})")
@@ -126,7 +128,8 @@ def q_serve_similar(spark, d):
 
 
 ALL_U = lists_sql("all_u", "user_id", "item_id", "TRUE")
-MIX = f"(CAST(user_id AS BIGINT) * {V._MIX_USER} + {{d}} * {V._MIX_DRAW} + {7 * V._MIX_SEED}) % {V._MIX_MOD}"
+SEED = 7
+MIX = f"CAST('0x' || substr(md5(concat_ws('|', CAST(user_id AS VARCHAR), CAST({{d}} AS VARCHAR), '{SEED}')), 1, 8) AS BIGINT)"
 
 
 @query("sample_user_recs", with_(RATING_EVENTS, ALL_U) + f"""
@@ -135,7 +138,7 @@ FROM (SELECT user_id, ids, unnest(range(1, 4)) AS draw FROM all_u WHERE len(ids)
 def q_sample_user_recs(spark, d):
     lists = user_lists(spark, d)
     requests = lists.select("user_id", F.lit(3).alias("n"))
-    return V.sample_user_recs(requests, lists, seed=7)
+    return V.sample_user_recs(requests, lists, seed=SEED)
 
 
 @query("sample_user_recs_distinct", with_(RATING_EVENTS, ALL_U) + f"""
@@ -146,15 +149,17 @@ WHERE draw <= 3""")
 def q_sample_user_recs_distinct(spark, d):
     lists = user_lists(spark, d)
     requests = lists.select("user_id", F.lit(3).alias("n"))
-    return V.sample_user_recs(requests, lists, seed=7, replace=False)
+    return V.sample_user_recs(requests, lists, seed=SEED, replace=False)
 
 
 @query("format_ratings_text", with_(RATING_EVENTS) + """
 SELECT concat_ws('::', CAST(user_id AS VARCHAR), CAST(item_id AS VARCHAR), CAST(score AS VARCHAR)) AS value
 FROM rating_events WHERE score > 0""")
 def q_format_ratings_text(spark, d):
-    ev = R.rated_only(T.rating_events(spark, d))
-    return TX.format_rating_lines(ev, "user_id", "item_id", "score")
+    path = scratch_path(spark, "rating-text")
+    TX.format_ratings_text(R.rated_only(T.rating_events(spark, d)), path, user_col="user_id", item_col="item_id",
+                           rating_col="score")
+    return spark.read.text(path)
 
 
 @query("parse_ratings_text", with_(RATING_EVENTS) + """
@@ -184,4 +189,4 @@ FROM s LEFT JOIN items i ON s.item_id = i.item_id""")
 def q_serve_user(spark, d):
     lists = user_lists(spark, d)
     requests = lists.select("user_id", F.lit(3).alias("n"))
-    return V.serve_user(requests, lists, T.items_table(spark, d), seed=7)
+    return V.serve_user(requests, lists, T.items_table(spark, d), seed=SEED)

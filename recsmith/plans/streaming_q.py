@@ -15,4 +15,4 @@ it AS (SELECT trim(regexp_extract(block, 'href="([^"]*)"', 1)) AS item_url,
 SELECT item_url, min(title) AS title FROM it WHERE item_url <> '' GROUP BY item_url""")
 def q_stream_ingest_pages(spark, d):
     target = L.stream_ingest_pages(spark, d, extract=L.nav_items, key_cols=("item_url",), glob="pages.parquet")
-    return spark.read.parquet(target)
+    return spark.read.parquet(target).select("item_url", "title")

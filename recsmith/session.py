@@ -66,8 +66,11 @@ def scratch_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared scratch folder."""
-    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path under the shared scratch folder; it is removed when the application ends."""
+    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hpath)
+    return path
 
 
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:

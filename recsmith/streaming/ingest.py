@@ -27,24 +27,37 @@ PAGES_SCHEMA = T.StructType([
 ])
 
 
+BUCKETS = 256
+BUCKET = "_bucket"
+
+
 def _stored(spark: SparkSession, target: str, like: DataFrame) -> DataFrame:
-    try:
-        return spark.read.schema(like.schema).parquet(target)
-    except Exception:  # noqa: BLE001 - no snapshot written yet
+    """The stored rows; none if the folder is not there yet. Any other
+    failure to read them is the batch's failure."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(target)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
         return spark.createDataFrame([], like.schema)
+    return spark.read.schema(like.schema).parquet(target)
 
 
 def ingest_batch(batch: DataFrame, target: str, extract: Callable[[DataFrame], DataFrame], key_cols) -> None:
     """One micro-batch: pages deduplicated by URL (lowest page id) ->
     ``extract`` -> one row per key -> anti-join with the stored rows ->
-    append."""
+    append. The store is partitioned by a bucket of the key's hash; a batch
+    reads only the buckets it has keys in."""
     spark = batch.sparkSession
     keys = [key_cols] if isinstance(key_cols, str) else list(key_cols)
     pages = dedup_by_key(batch.select("url", "page_id", "html"), "url", ["page_id"])
     rows = dedup_by_key(extract(pages), keys)
-    stored = _stored(spark, target, rows)
-    fresh = rows.join(stored.select(*keys), keys, "left_anti")
-    fresh.write.mode("append").parquet(target)
+    rows = rows.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int"))
+    rows = rows.persist()
+    try:
+        buckets = [r[0] for r in rows.select(BUCKET).distinct().collect()]  # BUCKETS numbers at most
+        stored = _stored(spark, target, rows).where(F.col(BUCKET).isin(buckets))
+        fresh = rows.join(stored.select(BUCKET, *keys), [BUCKET, *keys], "left_anti")
+        fresh.repartition(BUCKET).write.partitionBy(BUCKET).mode("append").parquet(target)
+    finally:
+        rows.unpersist()
 
 
 def stream_ingest_pages(spark: SparkSession, source_dir: str, target: str | None = None,

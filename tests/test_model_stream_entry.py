@@ -70,12 +70,12 @@ def test_entry_contract(spark):
     assert set(E.oracle_sql()) <= set(E.queries())
 
 
-def test_refresh_recommendations_upserts(spark, tmp_path):
-    from recsmith.plans.recommend import refresh_recommendations
+def test_refresh_rec_lists_upserts(spark, tmp_path):
+    from recsmith.plans.refresh import refresh_rec_lists
     data = als_data(spark)
-    first = refresh_recommendations(spark, data, str(tmp_path), rank=4, user_n=5, item_n=3, seed=3)
+    first = refresh_rec_lists(spark, data, str(tmp_path), rank=4, user_n=5, item_n=3, seed=3)
     part = data.filter(F.col("userId") % 2 == 0)
-    second = refresh_recommendations(spark, part, str(tmp_path), first["user_recs"], first["item_recs"],
+    second = refresh_rec_lists(spark, part, str(tmp_path), first["user_recs"], first["item_recs"],
                                      rank=4, user_n=5, item_n=3, seed=3)
     u1 = spark.read.parquet(first["user_recs"])
     u2 = spark.read.parquet(second["user_recs"])

@@ -4,13 +4,19 @@ A document's set is its distinct word 5-grams. Sets link when
 ``100 * overlap >= 75 * union``. All links count, the components are exact:
 
 1. One total order of all shingles puts the frequent ones last (a bounded
-   list, counted over all documents), the others by their hash. Two sets
-   that link share one of the first ``n // 4 + 1`` of each; each such shingle
-   is the root of a signature tree over the sets that have it so early.
+   list, counted over all documents), the others by their hash. A set lacks
+   at most a quarter of a set it links with, so two sets that link share at
+   least ``k`` of the first ``n // 4 + k`` of each, for any ``k``. Each such
+   shingle is the root of a signature tree over the sets that have it so
+   early. With ``k = 1 + n // 12``, a set that shares fewer than
+   ``1 + n // 16`` of its roots with others has no link, since the other set
+   has three quarters of its size or more; that drops what only quotes a
+   passage.
 2. Inside a root, each set is first compared with its neighbour in size.
    Links found so are merged into components, so a group of thousands of
    near copies collapses without all its pairs.
-3. Roots that still hold several components are searched whole: the dual
+3. Roots that still hold several components (one of those with the same sets
+   is enough) are searched whole: the dual
    traversal of their signature trees (``sigtree``) yields the pairs that may
    link and are not in one component. A root is cut into parts of bounded
    size whose trees are traversed pair by pair, each in a task of its own.
@@ -107,40 +113,42 @@ def frequent_shingles(docs: DataFrame) -> np.ndarray:
 
 
 def read_sets(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """(doc_id, fp, n, early, early_frequent): the set's id and size, and the shingles it is rooted at.
+    """(doc_id, fp, n, sig, early, early_frequent): the set's id, size and bitmap, and its roots.
 
-    The roots of a set that its task has seen before are left out.
+    The bitmap and roots of a set that its task has seen before are left out.
     """
     sent = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often, seen = sent.value, set()
         for batch in batches:
-            fp, n, early, late = [], [], [], []
+            fp, n, sig, early, late = [], [], [], [], []
             none = np.empty(0, np.int64)
             for _, s in shingle_sets(batch.column(1)):
                 fp.append(set_id(s))
                 n.append(len(s))
                 if fp[-1] in seen or not len(s):
+                    sig.append(None)
                     early.append(none)
                     late.append(none)
                     continue
                 seen.add(fp[-1])
+                sig.append(sigtree.bitmap(s).tobytes())
                 if len(often):
                     at = np.minimum(np.searchsorted(often, s), len(often) - 1)
                     is_often = often[at] == s
                 else:
                     is_often = np.zeros(len(s), bool)
-                roots = len(s) // 4 + 1
+                roots = len(s) // 4 + 1 + len(s) // 12
                 early.append(s[~is_often][:roots].view(np.int64))
                 late.append(s[is_often][:max(0, roots - len(early[-1]))].view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(fp, pa.int64()), pa.array(n, pa.int64()),
+                [batch.column(0), pa.array(fp, pa.int64()), pa.array(n, pa.int64()), pa.array(sig, pa.binary()),
                  list_array(early, pa.int64()), list_array(late, pa.int64())],
-                ["doc_id", "fp", "n", "early", "early_frequent"])
+                ["doc_id", "fp", "n", "sig", "early", "early_frequent"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, fp long, n long, early array<long>, early_frequent array<long>")
+        run, "doc_id long, fp long, n long, sig binary, early array<long>, early_frequent array<long>")
 
 
 def rooted(sets: DataFrame) -> DataFrame:
@@ -159,8 +167,14 @@ def rooted(sets: DataFrame) -> DataFrame:
         "root", "fp", "n", "before", "n_before")
 
 
+def sharing_enough(rows: DataFrame) -> DataFrame:
+    """The rows of sets that share enough roots to have a link at all."""
+    enough = rows.groupBy("fp").agg(F.count(F.lit(1)).alias("c"), F.first("n").alias("n")).where("c >= 1 + n div 16")
+    return rows.join(enough.select("fp"), "fp", "left_semi")
+
+
 def full_sets(docs: DataFrame, reps: DataFrame) -> DataFrame:
-    """(fp, n, sig, members) of the sets whose representative document is in ``reps(doc_id, fp)``.
+    """(fp, members) of the sets whose representative document is in ``reps(doc_id, fp)``.
 
     A filter of bounded size keeps most other texts out of the shuffle.
     """
@@ -168,7 +182,7 @@ def full_sets(docs: DataFrame, reps: DataFrame) -> DataFrame:
     bit = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)) + 1
     words = (reps.where("doc_id IS NOT NULL").select(bit.alias("b"))
              .groupBy(F.bitmap_bucket_number("b").alias("k"))
-             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("bits")).collect())  # FILTER_BITS / 8 bytes
+             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("bits")).collect())  # 2 MB at most
     bits = np.zeros((FILTER_BITS // 32768, 4096), np.uint8)
     for r in words:
         bits[r.k - 1] = np.frombuffer(bytes(r.bits), np.uint8)
@@ -182,27 +196,23 @@ def full_sets(docs: DataFrame, reps: DataFrame) -> DataFrame:
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fp, n, sig, members = [], [], [], []
+            fp, members = [], []
             want = batch.column(0).to_pylist()
             for row, s in shingle_sets(batch.column(1)):
-                if (own := set_id(s)) == want[row]:
-                    fp.append(own)
-                    n.append(len(s))
-                    sig.append(sigtree.bitmap(s).tobytes())
+                if set_id(s) == want[row]:
+                    fp.append(want[row])
                     members.append(s.tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(fp, pa.int64()), pa.array(n, pa.int64()), pa.array(sig, pa.binary()),
-                 pa.array(members, pa.binary())], ["fp", "n", "sig", "members"])
+            yield pa.RecordBatch.from_arrays([pa.array(fp, pa.int64()), pa.array(members, pa.binary())],
+                                             ["fp", "members"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
     rows = rows.select("doc_id", (bit - 1).alias("b"), "text").mapInArrow(keep, "doc_id long, text string")
     return rows.join(reps.hint("shuffle_hash"), "doc_id").select("fp", "text").mapInArrow(
-        parse, "fp long, n long, sig binary, members binary").dropDuplicates(["fp"])
+        parse, "fp long, members binary")
 
 
-def bounded_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs whose bitmaps leave a link possible."""
-    sig = sets.select("fp", "n", "sig")
+def bounded_pairs(pairs: DataFrame, sig: DataFrame) -> DataFrame:
+    """The pairs whose bitmaps in ``sig(fp, n, sig)`` leave a link possible."""
     both = (pairs.join(sig.select(F.col("fp").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa")), "a")
             .join(sig.select(F.col("fp").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb")), "b"))
 
@@ -220,10 +230,12 @@ def bounded_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs that link, by the overlap of their full sets."""
-    own = sets.select("fp", "members")
-    both = (bounded_pairs(pairs, sets).join(own.select(F.col("fp").alias("a"), F.col("members").alias("ma")), "a")
+def verified(pairs: DataFrame, sig: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs that link, by the overlap of their full sets, which are read again for these pairs only."""
+    pairs = stored(bounded_pairs(pairs, sig), "pairs")
+    involved = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "fp")
+    own = stored(full_sets(docs, nodes.join(involved, "fp", "left_semi")), "members")
+    both = (pairs.join(own.select(F.col("fp").alias("a"), F.col("members").alias("ma")), "a")
             .join(own.select(F.col("fp").alias("b"), F.col("members").alias("mb")), "b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,10 +250,18 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 hit.append(100 * shared >= 75 * (len(x) + len(y) - shared))
             yield batch.filter(pa.array(hit, pa.bool_())).select(["a", "b"])
 
-    return both.mapInArrow(run, "a long, b long")
+    return both.mapInArrow(run, "a long, b long").distinct()  # a document's rows may repeat
 
 
-def unit_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
+def mixed_roots(rows: DataFrame) -> DataFrame:
+    """Roots of several components, one of those that hold the same sets."""
+    own = [F.bit_xor(F.xxhash64("fp", F.lit(k))).alias(f"x{k}") for k in (1, 2)]
+    roots = rows.groupBy("root").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"),
+                                     F.count(F.lit(1)).alias("k"), *own).where("c0 <> c1")
+    return roots.groupBy("k", "x1", "x2").agg(F.min("root").alias("root")).select("root")
+
+
+def unit_pairs(rows: DataFrame, sig: DataFrame) -> DataFrame:
     """Candidate pairs (a, b) of different components, by the dual traversal of each root's trees."""
     counts = rows.groupBy("root").agg(F.count(F.lit(1)).alias("k"))
     parts = F.ceil(F.col("k") / PART).cast("int")
@@ -249,39 +269,53 @@ def unit_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
     own = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
     rows = rows.select("root", "fp", "comp", own.alias("own"),
                        F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
-    rows = rows.join(sets.select("fp", "n", "sig"), "fp").select(
+    rows = rows.join(sig, "fp").select(
         "root", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
         "fp", "comp", "n", "sig", (F.col("own") > F.col("other")).cast("int").alias("side"))
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        if pdf["p"].iloc[0] != pdf["q"].iloc[0] and pdf["side"].nunique() < 2:
+    def pairs_of(pdf: pd.DataFrame) -> pd.DataFrame:
+        side, fp = pdf["side"].to_numpy(np.int64), pdf["fp"].to_numpy(np.int64)
+        if pdf["p"].iloc[0] != pdf["q"].iloc[0] and side.min() == side.max():
             return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        i, j = sigtree.candidates(pdf["sig"].tolist(), pdf["n"].to_numpy(np.int64), pdf["comp"].to_numpy(np.int64),
-                                  pdf["side"].to_numpy(np.int64))
-        fp = pdf["fp"].to_numpy(np.int64)
+        i, j = sigtree.candidates(pdf["sig"].tolist(), pdf["n"].to_numpy(np.int64), pdf["comp"].to_numpy(np.int64), side)
         return pd.DataFrame({"a": np.minimum(fp[i], fp[j]), "b": np.maximum(fp[i], fp[j])})
 
-    return rows.groupBy("root", "p", "q").applyInPandas(run, "a long, b long").distinct()
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None  # the last unit may go on in the next batch; a unit has 2 * PART rows or so
+        for pdf in batches:
+            pdf = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
+            key = pdf[["root", "p", "q"]].to_numpy()
+            first = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(axis=1)]))
+            out = [pairs_of(pdf.iloc[s:e]) for s, e in zip(first[:-1], first[1:])]
+            if out:
+                yield pd.concat(out)
+            held = pdf.iloc[first[-1]:]
+        if held is not None:
+            yield pairs_of(held)
+
+    units = rows.repartition("root", "p", "q").sortWithinPartitions("root", "p", "q")
+    return units.mapInPandas(run, "a long, b long").distinct()
 
 
 def join_components(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id."""
     sets = stored(read_sets(docs, frequent_shingles(docs)), "sets")
     nodes = sets.groupBy("fp").agg(F.min("doc_id").alias("doc_id"))
-    rows = stored(rooted(sets), "roots")
-    full = stored(full_sets(docs, nodes.join(rows.select("fp").distinct(), "fp", "left_semi")), "members")
+    rows = stored(sharing_enough(stored(rooted(sets), "roots")), "roots")
+    sig = sets.where("sig IS NOT NULL").select("fp", "n", "sig").join(
+        rows.select("fp").distinct(), "fp", "left_semi").dropDuplicates(["fp"])
+    sig = stored(sig, "bitmaps")
 
     near = rows.where("before IS NOT NULL AND 100 * n_before >= 75 * n").select(
         F.least("before", "fp").alias("a"), F.greatest("before", "fp").alias("b")).distinct()
-    links = stored(verified(near, full), "links")
+    links = stored(verified(near, sig, nodes, docs), "links")
     comp = components(links).select(F.col("node").alias("fp"), F.col("root").alias("comp"))
 
     labelled = rows.select("root", "fp").join(comp, "fp", "left").select(
         "root", "fp", F.coalesce("comp", "fp").alias("comp"))
     labelled = stored(labelled, "labelled")
-    mixed = labelled.groupBy("root").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1")
-    rest = stored(labelled.join(mixed.select("root"), "root", "left_semi"), "mixed")
-    more = stored(verified(unit_pairs(rest, full), full), "links")
+    rest = labelled.join(mixed_roots(labelled), "root", "left_semi")
+    more = stored(verified(unit_pairs(rest, sig), sig, nodes, docs), "links")
     comp = components(links.union(more)).select(F.col("node").alias("fp"), F.col("root").alias("comp"))
 
     named = nodes.join(comp, "fp", "left").select("fp", "doc_id", F.coalesce("comp", "fp").alias("comp"))

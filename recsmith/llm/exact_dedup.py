@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .common import ascii_lower, query, table
 
 MIN_CHUNK, MAX_CHUNK = 512, 4096
+SALTS = 16
 
 
 def chunk_pattern(low: int = MIN_CHUNK, high: int = MAX_CHUNK) -> str:
@@ -64,8 +65,10 @@ def exact_groups(docs: DataFrame, low: int = MIN_CHUNK, high: int = MAX_CHUNK) -
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256."""
     rows = recipes(docs, low, high).withColumn("recipe", F.transform("recipe", lambda x: F.struct(x.h, x["rank"])))
     groups = rows.groupBy("recipe").agg(F.max("doc_id").alias("keep_id"), F.sum("copies").alias("group_size"))
-    shared = groups.where("group_size > 1")
-    out = rows.join(shared, "recipe", "left").select(
+    # A group may hold a third of all rows: its one row goes to SALTS tasks, its members to one of them each.
+    shared = groups.where("group_size > 1").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+    out = rows.join(shared, ["recipe", "salt"], "left").select(
         "doc_id", F.coalesce("keep_id", "doc_id").alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"), "text_sha256",
         F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))

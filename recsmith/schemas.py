@@ -72,14 +72,23 @@ def null_violations(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Select and cast to ``schema``; rows with a null in a required column
-    are dropped (use ``null_violations`` first to report them)."""
-    cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
-    out = df.select(*cols)
+    """Select and cast to ``schema``; the rows that ``rejects`` gives are left out."""
+    return _cast(df, schema).filter(_complete(schema))
+
+
+def rejects(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The rows that ``conform`` leaves out: null in a required column, or not
+    readable as its type. Cast to ``schema``."""
+    return _cast(df, schema).filter(~_complete(schema))
+
+
+def _cast(df: DataFrame, schema: T.StructType) -> DataFrame:
+    return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def _complete(schema: T.StructType):
     required = [F.col(f.name).isNotNull() for f in schema.fields if not f.nullable]
-    if required:
-        out = out.filter(reduce(lambda a, b: a & b, required))
-    return out
+    return reduce(lambda a, b: a & b, required, F.lit(True))
 
 
 def validate_schema(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -16,10 +16,10 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-import __spark_entry__ as entry  # noqa: E402
+from recsmith.plans import registry  # noqa: E402
 from recsmith.session import local_session  # noqa: E402
 
-SKIP_PREFIX = ("als_", "rank_grid", "best_rank", "recommend_", "rec_ids", "refresh_", "stream_")
+SKIP_PREFIX = ("als_", "rank_grid", "best_rank", "build_rec_lists", "top_titles", "rec_ids", "refresh_", "stream_")
 
 
 def summarise(plan: str) -> dict:
@@ -42,7 +42,8 @@ def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = local_session(8)
     rows = []
-    for name, fn in entry.queries().items():
+    registry.load_all()
+    for name, fn in registry.QUERIES.items():
         if name.startswith(SKIP_PREFIX):
             continue
         df = fn(spark, sf_dir)

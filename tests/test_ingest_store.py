@@ -88,9 +88,10 @@ def test_snapshot_round_trip(spark, tmp_path):
 
 
 def test_null_violations_and_conform(spark):
-    from recsmith.schemas import USERS, conform, null_violations
+    from recsmith.schemas import USERS, conform, null_violations, rejects
     df = spark.createDataFrame([(1, "a", 3, "h"), (2, None, 1, "h"), (None, "c", 0, "h")],
                                "user_id int, name string, declared_total int, home_url string")
     r = null_violations(df, USERS).first()
     assert (r.user_id_nulls, r.name_nulls, r.declared_total_nulls, r.n_rows) == (1, 1, 0, 3)
     assert conform(df, USERS).count() == 1
+    assert rejects(df, USERS).count() == df.count() - 1

@@ -12,9 +12,10 @@ A document's set is its distinct word 5-grams. Sets link when
    ``1 + n // 16`` of its roots with others has no link, since the other set
    has three quarters of its size or more; that drops what only quotes a
    passage.
-2. Inside a root, each set is first compared with its neighbour in size.
-   Links found so are merged into components, so a group of thousands of
-   near copies collapses without all its pairs.
+2. Inside a root, each set is first compared with its neighbour in size,
+   then, in ``TURNS`` turns, with ``NEAR`` neighbours of other components in
+   an order drawn anew. Links found so are merged into components, so a group
+   of thousands of near copies collapses without all its pairs.
 3. Roots that still hold several components (one of those with the same sets
    is enough) are searched whole: the dual
    traversal of their signature trees (``sigtree``) yields the pairs that may
@@ -40,7 +41,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from . import sigtree
 from .common import query, stored, table
@@ -51,8 +52,11 @@ NGRAM = 5
 FREQUENT_SHARE = 2000  # a shingle in more than one in so many documents is frequent ...
 FREQUENT_LEAST = 64  # ... and in more than so many
 COUNT_RUN = 1 << 22  # shingles a task counts at once
+TURNS, NEAR = 1, 6  # turns of comparison with so many neighbours, before the whole search
+LEAD_ROWS, SEEN_PAIRS = 400_000, 500_000  # rows dealt together, and pairs a task remembers
 PART = 1024  # sets of a root that make one tree
 SALTS = 64  # parts of a frequent root in the first comparison
+BROADCAST_ROWS = 1_000_000  # set ids sent to all tasks, at most: 8 MB
 FILTER_BITS = 1 << 24  # of the filter in front of the second reading
 _ORDER = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                    0xA0761D6478BD642F], np.uint64)
@@ -113,7 +117,7 @@ def frequent_shingles(docs: DataFrame) -> np.ndarray:
 
 
 def read_sets(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """(doc_id, fp, n, sig, early, early_frequent): the set's id, size and bitmap, and its roots.
+    """(doc_id, key, fp, n, sig, early, early_frequent): the set's id, size and bitmap, and its roots.
 
     The bitmap and roots of a set that its task has seen before are left out.
     """
@@ -124,7 +128,7 @@ def read_sets(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
         for batch in batches:
             fp, n, sig, early, late = [], [], [], [], []
             none = np.empty(0, np.int64)
-            for _, s in shingle_sets(batch.column(1)):
+            for _, s in shingle_sets(batch.column(2)):
                 fp.append(set_id(s))
                 n.append(len(s))
                 if fp[-1] in seen or not len(s):
@@ -143,12 +147,17 @@ def read_sets(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                 early.append(s[~is_often][:roots].view(np.int64))
                 late.append(s[is_often][:max(0, roots - len(early[-1]))].view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(fp, pa.int64()), pa.array(n, pa.int64()), pa.array(sig, pa.binary()),
-                 list_array(early, pa.int64()), list_array(late, pa.int64())],
-                ["doc_id", "fp", "n", "sig", "early", "early_frequent"])
+                [batch.column(0), batch.column(1), pa.array(fp, pa.int64()), pa.array(n, pa.int64()),
+                 pa.array(sig, pa.binary()), list_array(early, pa.int64()), list_array(late, pa.int64())],
+                ["doc_id", "key", "fp", "n", "sig", "early", "early_frequent"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, fp long, n long, sig binary, early array<long>, early_frequent array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("key"), "text").mapInArrow(
+        run, "doc_id long, key long, fp long, n long, sig binary, early array<long>, early_frequent array<long>")
+
+
+def row_key() -> Column:
+    """What a text is found by again: its id, or its hash where that is null."""
+    return F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))
 
 
 def rooted(sets: DataFrame) -> DataFrame:
@@ -174,13 +183,13 @@ def sharing_enough(rows: DataFrame) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, reps: DataFrame) -> DataFrame:
-    """(fp, members) of the sets whose representative document is in ``reps(doc_id, fp)``.
+    """(fp, members) of the sets whose representative row is in ``reps(key, fp)``.
 
     A filter of bounded size keeps most other texts out of the shuffle.
     """
     spark = docs.sparkSession
-    bit = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)) + 1
-    words = (reps.where("doc_id IS NOT NULL").select(bit.alias("b"))
+    bit = F.pmod(F.xxhash64("key"), F.lit(FILTER_BITS)) + 1
+    words = (reps.select(bit.alias("b"))
              .groupBy(F.bitmap_bucket_number("b").alias("k"))
              .agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("bits")).collect())  # 2 MB at most
     bits = np.zeros((FILTER_BITS // 32768, 4096), np.uint8)
@@ -192,7 +201,7 @@ def full_sets(docs: DataFrame, reps: DataFrame) -> DataFrame:
         for batch in batches:
             b = batch.column(1).to_numpy(zero_copy_only=False)
             hit = (sent.value[b >> 3] >> (b & 7).astype(np.uint8)) & 1
-            yield batch.filter(pa.array(hit.astype(bool))).select(["doc_id", "text"])
+            yield batch.filter(pa.array(hit.astype(bool))).select(["key", "text"])
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -205,9 +214,9 @@ def full_sets(docs: DataFrame, reps: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(fp, pa.int64()), pa.array(members, pa.binary())],
                                              ["fp", "members"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
-    rows = rows.select("doc_id", (bit - 1).alias("b"), "text").mapInArrow(keep, "doc_id long, text string")
-    return rows.join(reps.hint("shuffle_hash"), "doc_id").select("fp", "text").mapInArrow(
+    rows = docs.select(row_key().alias("key"), "text")
+    rows = rows.select("key", (bit - 1).alias("b"), "text").mapInArrow(keep, "key long, text string")
+    return rows.join(reps.hint("shuffle_hash"), "key").select("fp", "text").mapInArrow(
         parse, "fp long, members binary")
 
 
@@ -230,11 +239,12 @@ def bounded_pairs(pairs: DataFrame, sig: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-def verified(pairs: DataFrame, sig: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs that link, by the overlap of their full sets, which are read again for these pairs only."""
-    pairs = stored(bounded_pairs(pairs, sig), "pairs")
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs that link, by the overlap of their full sets in ``sets(fp, members)``; only theirs are shuffled."""
+    pairs = stored(pairs, "pairs")
     involved = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "fp")
-    own = stored(full_sets(docs, nodes.join(involved, "fp", "left_semi")), "members")
+    small = F.broadcast(involved) if involved.count() <= BROADCAST_ROWS else involved
+    own = sets.join(small, "fp", "left_semi")
     both = (pairs.join(own.select(F.col("fp").alias("a"), F.col("members").alias("ma")), "a")
             .join(own.select(F.col("fp").alias("b"), F.col("members").alias("mb")), "b"))
 
@@ -250,27 +260,47 @@ def verified(pairs: DataFrame, sig: DataFrame, nodes: DataFrame, docs: DataFrame
                 hit.append(100 * shared >= 75 * (len(x) + len(y) - shared))
             yield batch.filter(pa.array(hit, pa.bool_())).select(["a", "b"])
 
-    return both.mapInArrow(run, "a long, b long").distinct()  # a document's rows may repeat
+    return both.mapInArrow(run, "a long, b long")  # a pair may repeat, as a document's rows may
 
 
-def mixed_roots(rows: DataFrame) -> DataFrame:
-    """Roots of several components, one of those that hold the same sets."""
+def distinct_roots(rows: DataFrame) -> DataFrame:
+    """(root): one root of those that hold the same two sets or more."""
     own = [F.bit_xor(F.xxhash64("fp", F.lit(k))).alias(f"x{k}") for k in (1, 2)]
-    roots = rows.groupBy("root").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"),
-                                     F.count(F.lit(1)).alias("k"), *own).where("c0 <> c1")
+    roots = rows.groupBy("root").agg(F.count(F.lit(1)).alias("k"), *own).where("k > 1")
     return roots.groupBy("k", "x1", "x2").agg(F.min("root").alias("root")).select("root")
 
 
+def mixed_roots(rows: DataFrame) -> DataFrame:
+    """(root, lead, parts): roots of several components, the least of these, and the parts the root is cut into."""
+    roots = rows.groupBy("root").agg(F.min("comp").alias("lead"), F.max("comp").alias("last"),
+                                     F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts"))
+    return roots.where("lead <> last").drop("last")
+
+
+def neighbours(rows: DataFrame, turn: int) -> DataFrame:
+    """Pairs (a, b) of different components and fitting sizes that stand close in an order drawn for this turn."""
+    drawn = F.xxhash64("fp", F.lit(turn))
+    rows = rows.withColumn("part", F.pmod(drawn, F.col("parts")))
+    order = Window.partitionBy("root", "part").orderBy(drawn, "fp")
+    me = F.struct("fp", "n", "comp")
+    lags = F.array(*[F.lag(me, k).over(order) for k in range(1, NEAR + 1)])
+    near = rows.select("fp", "n", "comp", lags.alias("near"))
+    near = near.select("fp", "n", "comp", F.explode("near").alias("o")).where("o IS NOT NULL AND o.comp <> comp")
+    near = near.where("100 * least(n, o.n) >= 75 * greatest(n, o.n)")
+    return near.select(F.least("fp", "o.fp").alias("a"), F.greatest("fp", "o.fp").alias("b")).distinct()
+
+
 def unit_pairs(rows: DataFrame, sig: DataFrame) -> DataFrame:
     """Candidate pairs (a, b) of different components, by the dual traversal of each root's trees."""
-    counts = rows.groupBy("root").agg(F.count(F.lit(1)).alias("k"))
-    parts = F.ceil(F.col("k") / PART).cast("int")
-    rows = rows.join(counts.select("root", parts.alias("parts")), "root")
+    # Roots of one leading component mostly hold the same sets: they go to one task, as far as that
+    # is bounded by LEAD_ROWS, which then gives each of their pairs once.
+    shares = rows.groupBy("lead").agg(F.ceil(F.sum("parts") / LEAD_ROWS).alias("shares"))
+    rows = rows.join(shares, "lead").withColumn("share", F.pmod(F.xxhash64("root"), F.col("shares")))
     own = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
-    rows = rows.select("root", "fp", "comp", own.alias("own"),
+    rows = rows.select("lead", "share", "root", "fp", "comp", own.alias("own"),
                        F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
     rows = rows.join(sig, "fp").select(
-        "root", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
+        "lead", "share", "root", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
         "fp", "comp", "n", "sig", (F.col("own") > F.col("other")).cast("int").alias("side"))
 
     def pairs_of(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -282,25 +312,34 @@ def unit_pairs(rows: DataFrame, sig: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None  # the last unit may go on in the next batch; a unit has 2 * PART rows or so
+        seen: set[tuple[int, int]] = set()
         for pdf in batches:
             pdf = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
             key = pdf[["root", "p", "q"]].to_numpy()
             first = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(axis=1)]))
             out = [pairs_of(pdf.iloc[s:e]) for s, e in zip(first[:-1], first[1:])]
             if out:
-                yield pd.concat(out)
+                yield fresh(pd.concat(out), seen)
             held = pdf.iloc[first[-1]:]
         if held is not None:
-            yield pairs_of(held)
+            yield fresh(pairs_of(held), seen)
+
+    def fresh(pairs: pd.DataFrame, seen: set) -> pd.DataFrame:
+        """The pairs that this task has not given lately."""
+        if len(seen) > SEEN_PAIRS:
+            seen.clear()
+        own = set(zip(pairs["a"].tolist(), pairs["b"].tolist())) - seen
+        seen |= own
+        return pd.DataFrame(list(own), columns=["a", "b"], dtype="int64")
 
-    units = rows.repartition("root", "p", "q").sortWithinPartitions("root", "p", "q")
+    units = rows.repartition("lead", "share", "p", "q").sortWithinPartitions("lead", "share", "root", "p", "q")
     return units.mapInPandas(run, "a long, b long").distinct()
 
 
 def join_components(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id."""
     sets = stored(read_sets(docs, frequent_shingles(docs)), "sets")
-    nodes = sets.groupBy("fp").agg(F.min("doc_id").alias("doc_id"))
+    nodes = sets.groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.min("key").alias("key"))
     rows = stored(sharing_enough(stored(rooted(sets), "roots")), "roots")
     sig = sets.where("sig IS NOT NULL").select("fp", "n", "sig").join(
         rows.select("fp").distinct(), "fp", "left_semi").dropDuplicates(["fp"])
@@ -308,15 +347,21 @@ def join_components(docs: DataFrame) -> DataFrame:
 
     near = rows.where("before IS NOT NULL AND 100 * n_before >= 75 * n").select(
         F.least("before", "fp").alias("a"), F.greatest("before", "fp").alias("b")).distinct()
-    links = stored(verified(near, sig, nodes, docs), "links")
+    full = stored(full_sets(docs, nodes.select("key", "fp").join(sig.select("fp"), "fp", "left_semi")), "members")
+    links = stored(verified(bounded_pairs(near, sig), full), "links")
     comp = components(links).select(F.col("node").alias("fp"), F.col("root").alias("comp"))
 
-    labelled = rows.select("root", "fp").join(comp, "fp", "left").select(
-        "root", "fp", F.coalesce("comp", "fp").alias("comp"))
-    labelled = stored(labelled, "labelled")
-    rest = labelled.join(mixed_roots(labelled), "root", "left_semi")
-    more = stored(verified(unit_pairs(rest, sig), sig, nodes, docs), "links")
-    comp = components(links.union(more)).select(F.col("node").alias("fp"), F.col("root").alias("comp"))
+    size = stored(rows.select("root", "fp", "n").join(distinct_roots(rows), "root", "left_semi"), "roots")
+    for turn in range(TURNS + 1):
+        labelled = size.join(comp, "fp", "left").withColumn("comp", F.coalesce("comp", "fp"))
+        labelled = stored(labelled, "labelled")
+        rest = stored(labelled.join(mixed_roots(labelled), "root"), "mixed")
+        pairs = bounded_pairs(neighbours(rest, turn), sig) if turn < TURNS else unit_pairs(rest, sig)
+        found = stored(verified(pairs, full), "links")
+        if found.isEmpty():
+            continue
+        merged = comp.where("fp <> comp").select(F.col("comp").alias("a"), F.col("fp").alias("b")).union(found)
+        comp = components(merged).select(F.col("node").alias("fp"), F.col("root").alias("comp"))
 
     named = nodes.join(comp, "fp", "left").select("fp", "doc_id", F.coalesce("comp", "fp").alias("comp"))
     least = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"))

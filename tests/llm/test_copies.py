@@ -68,6 +68,7 @@ def test_chunks_with_one_hash_get_ranks(spark):
 @pytest.mark.parametrize("parts", [False, True])
 def test_ngram_join(table_of, odd_rows, monkeypatch, parts):
     rows = variants(5, 60, 6, hot=40) + odd_rows
+    rows += [(None, t + " tail") for _, t in rows[:40:5]] + [(None, "nobody has an id here at all " * 2 + w) for w in "xyx"]
     if parts:  # many frequent shingles, roots in many parts
         monkeypatch.setattr(ngram_join, "FREQUENT_LEAST", 3)
         monkeypatch.setattr(ngram_join, "FREQUENT_SHARE", 10 ** 6)
@@ -110,7 +111,9 @@ def test_trees_lose_no_link(seed, n, two_sides):
                 assert (both and side[a] == side[b]) or frozenset((a, b)) in got
 
 
-def test_components_of_chain_and_star(spark):
+@pytest.mark.parametrize("task_edges", [components.TASK_EDGES, 50])
+def test_components_of_chain_and_star(spark, monkeypatch, task_edges):
+    monkeypatch.setattr(components, "TASK_EDGES", task_edges)
     chain = [(i, i + 1) for i in range(0, 300)]
     star = [(1000, 1000 + i) for i in range(1, 200)]
     edges = spark.createDataFrame(chain + star + [(5000, 5000), (7001, 7000)], "a long, b long").repartition(5)

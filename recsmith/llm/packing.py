@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from .common import query, table
 from .pretokens import BYTE_RANKS, default_path, token_ids
@@ -32,7 +32,7 @@ from .pretokens import BYTE_RANKS, default_path, token_ids
 CAPACITY = 1024
 GROUP_TOKENS = 1 << 21
 LINEAR, QUADRATIC = 1.0, 1.0 / CAPACITY  # relative cost of the dense layers and of attention
-SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
+SCHEMA = ("doc_id string, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long, sequence_cost double")
 
 
@@ -78,7 +78,7 @@ def pack(docs: DataFrame, ranks_path: str, capacity: int = CAPACITY,
         item, start, length, seq, offset = (np.array(x) for x in zip(*found))
         crc = [zlib.crc32(tokens[i][s:s + n].tobytes()) for i, s, n, _, _ in found]
         return pd.DataFrame({
-            "doc_id": pd.array(ids, "Int64").take(item), "start": start, "length": length, "ids_crc32": crc,
+            "doc_id": pd.Series(ids, dtype=object).take(item).to_numpy(), "start": start, "length": length, "ids_crc32": crc,
             "doc_tokens": lengths[item], "sequence_id": first_seq + seq, "offset": offset,
             "sequence_cost": cost[seq]}), first_seq + len(cost)
 
@@ -86,7 +86,7 @@ def pack(docs: DataFrame, ranks_path: str, capacity: int = CAPACITY,
         seq, ids, tokens, size = TaskContext.get().partitionId() << 32, [], [], 0
         end = np.array([end_id], "<u4")
         for pdf in batches:
-            for doc_id, text in zip(pdf["doc_id"].astype("Int64").tolist(), pdf["text"]):
+            for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
                 ids.append(doc_id)
                 tokens.append(np.concatenate([token_ids(ranks_path, text or ""), end]))
                 size += len(tokens[-1])
@@ -97,7 +97,9 @@ def pack(docs: DataFrame, ranks_path: str, capacity: int = CAPACITY,
         if ids:
             yield pieces_of(ids, tokens, seq)[0]
 
-    return docs.select("doc_id", "text").mapInPandas(run, SCHEMA)
+    # The id goes through pandas as text: a column with nulls would become floating point.
+    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(run, SCHEMA)
+    return rows.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 @query("op5_packing")

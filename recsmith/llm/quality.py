@@ -111,8 +111,12 @@ def score(docs: DataFrame, model: dict, mod: int = 3, remainder: int = 1) -> Dat
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "held_out": pdf["held_out"], "score": p,
                                 "predicted": (p >= 0.5).astype("int32"), "size_difference": x})
 
-    return docs.select("doc_id", held_out(F.col("doc_id"), mod, remainder).alias("held_out"), "text").mapInPandas(
-        run, "doc_id long, held_out boolean, score double, predicted int, size_difference double")
+    # The id goes through pandas as text: a column with nulls would become floating point.
+    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"),
+                       held_out(F.col("doc_id"), mod, remainder).alias("held_out"), "text")
+    return rows.mapInPandas(
+        run, "doc_id string, held_out boolean, score double, predicted int, size_difference double").withColumn(
+        "doc_id", F.col("doc_id").cast("long"))
 
 
 @query("op10_quality")

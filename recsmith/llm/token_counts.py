@@ -59,8 +59,10 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = LIMIT) -> Da
             counts = [n for texts in runs(pdf["text"]) for n in cache.count(texts)]
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_bytes": pdf["n_bytes"], "n_tokens": counts})
 
-    return (docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), "text")
-            .mapInPandas(run, "doc_id long, n_bytes long, n_tokens long")
+    # The id goes through pandas as text: a column with nulls would become floating point.
+    return (docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), "text")
+            .mapInPandas(run, "doc_id string, n_bytes long, n_tokens long")
+            .withColumn("doc_id", F.col("doc_id").cast("long"))
             .withColumn("over_limit", F.col("n_tokens") > limit))
 
 

@@ -28,4 +28,4 @@ def odd_rows():
     return [(1, None), (2, ""), (3, " \n\t "), (None, "no id here"), (None, None), (4, "word"), (5, "Word"),
             (6, base), (7, base.upper()), (7, base.upper()), (8, base + " tail"), (8, "another text of this id"),
             (9, long), (10, long + " x"), (11, "Éa été ÉA"), (12, "éa été éa"), (13, "K K ß \U0001f600 x"),
-            (14, "a " * 5000), (15, "!!! ... ---")]
+            (14, "a " * 5000), (15, "!!! ... ---"), (2 ** 62 + 1, "an id that no double holds")]

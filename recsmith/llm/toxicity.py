@@ -83,10 +83,12 @@ def fit(y: np.ndarray, docs: list[np.ndarray], seed: int = 7) -> dict:
              "w": np.zeros(0), "v": np.zeros((0, FACTORS))}
     if share in (0.0, 1.0):
         return model
-    size = np.array([len(d) for d in docs])
-    flat, doc = np.concatenate(docs), np.repeat(np.arange(len(docs)), size)
-    df = np.bincount(flat, minlength=BUCKETS).astype(float)
-    hit = np.bincount(flat, weights=y[doc], minlength=BUCKETS)
+    df, hit = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    for at in range(0, len(docs), BATCH):
+        own = docs[at:at + BATCH]
+        flat, of = np.concatenate(own), np.repeat(y[at:at + BATCH], [len(d) for d in own])
+        df += np.bincount(flat, minlength=BUCKETS)
+        hit += np.bincount(flat, weights=of, minlength=BUCKETS)
     n, pos = len(y), y.sum()
     with np.errstate(all="ignore"):
         chi = n * (hit * n - df * pos) ** 2 / (df * (n - df) * pos * (n - pos))
@@ -94,9 +96,7 @@ def fit(y: np.ndarray, docs: list[np.ndarray], seed: int = 7) -> dict:
     best = np.argsort(-chi, kind="stable")[:FEATURES]
     best = best[chi[best] > CHI]
     model["slot"][best] = np.arange(len(best))
-    keep = model["slot"][flat] >= 0
-    idx, doc = model["slot"][flat[keep]], doc[keep]
-    first = np.searchsorted(doc, np.arange(n + 1))
+    slots = [s[s >= 0] for s in (model["slot"][d] for d in docs)]
     rng = np.random.default_rng(seed)
     weight = np.where(y == 1, np.sqrt((n - pos) / pos), 1.0)
     params = [np.array([model["w0"]]), np.zeros(len(best)), rng.normal(0, 0.05, (len(best), FACTORS))]
@@ -105,8 +105,8 @@ def fit(y: np.ndarray, docs: list[np.ndarray], seed: int = 7) -> dict:
         order = rng.permutation(n)
         for at in range(0, n, BATCH):
             rows = order[at:at + BATCH]
-            j = np.concatenate([idx[first[r]:first[r + 1]] for r in rows])
-            r = np.repeat(np.arange(len(rows)), first[rows + 1] - first[rows])
+            j = np.concatenate([slots[k] for k in rows])
+            r = np.repeat(np.arange(len(rows)), [len(slots[k]) for k in rows])
             w0, w, v = params
             total = np.zeros((len(rows), FACTORS))
             np.add.at(total, r, v[j])
@@ -161,7 +161,8 @@ def score(docs: DataFrame, model: dict, mod: int = 5, remainder: int = 0, carry:
         m = sent.value
         for batch in batches:
             z = np.full(batch.num_rows, m["w0"])
-            for row, n, doc, bucket in terms(batch.column("text")):
+            text = batch.column("row").field("text") if carry else batch.column("text")
+            for row, n, doc, bucket in terms(text):
                 doc, bucket = present(n, doc, bucket)
                 slot = m["slot"][bucket]
                 hit = slot >= 0
@@ -174,8 +175,8 @@ def score(docs: DataFrame, model: dict, mod: int = 5, remainder: int = 0, carry:
                  *(batch.column(c) for c in extra)], ["doc_id", "held_out", "score", "predicted", *extra])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       held_out(F.col("doc_id"), mod, remainder).alias("held_out"), "text",
-                       *([F.struct("*").alias("row")] if carry else []))
+                       held_out(F.col("doc_id"), mod, remainder).alias("held_out"),
+                       F.struct("*").alias("row") if carry else F.col("text"))
     schema = "doc_id long, held_out boolean, score double, predicted int"
     return rows.mapInArrow(run, schema + (f", row {rows.schema['row'].dataType.simpleString()}" if carry else ""))
 

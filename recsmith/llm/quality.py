@@ -88,7 +88,7 @@ def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[float, flo
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", mod: int = 3, remainder: int = 1) -> dict:
-    sample = labelled_sample(labels, label, mod, remainder, SAMPLE)
+    sample, _ = labelled_sample(labels, label, mod, remainder, SAMPLE)
 
     def learn(rows: pd.DataFrame) -> dict:
         rows = rows.sort_values("doc_id")

@@ -7,7 +7,9 @@ is fitted on a bounded sample of the labelled rows, ``SAMPLE`` of each label
 at most, by the ``FEATURES`` buckets that tell the labels apart best
 (chi-squared, over ``CHI``): a bias, a weight per bucket and ``FACTORS`` interaction
 factors per bucket, whose products score pairs of terms that no sum of
-single weights can. Scoring reads whole texts, one pass, no shuffle.
+single weights can. Each sampled row counts as 1 / the sampling rate of its
+label, so the prior and the class weight are those of all labelled rows, however
+many there are. Scoring reads whole texts, one pass, no shuffle.
 
 Null or empty text scores by the bias. Rows without a label, or whose
 labels are null, are only scored; of several labels for one ``doc_id`` the
@@ -64,21 +66,28 @@ def present(n: int, doc: np.ndarray, bucket: np.ndarray) -> tuple[np.ndarray, np
     return key // BUCKETS, key % BUCKETS
 
 
-def labelled_sample(labels: DataFrame, label: str, mod: int, remainder: int, per_label: int) -> DataFrame:
-    """(doc_id, label): the rows to learn from, about ``per_label`` of each label at most, chosen by the id's hash."""
+def labelled_sample(labels: DataFrame, label: str, mod: int, remainder: int, per_label: int) -> tuple[DataFrame, dict]:
+    """(doc_id, label): the rows to learn from, about ``per_label`` of each label at most, chosen by the id's hash.
+
+    With it the share of its rows that each label has in the sample.
+    """
     rows = labels.select("doc_id", F.col(label).cast("int").alias("label")).where(
         "doc_id IS NOT NULL AND label IN (0, 1)").groupBy("doc_id").agg(F.max("label").alias("label"))
     rows = rows.where(~held_out(F.col("doc_id"), mod, remainder))
     counts = {r.label: r.n for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    bounds = {k: min(1 << 30, (per_label << 30) // n) for k, n in counts.items()}
     share = F.lit(0)
-    for k, n in counts.items():
-        share = F.when(F.col("label") == k, F.lit(min(1 << 30, (per_label << 30) // n))).otherwise(share)
-    return rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share)
+    for k, bound in bounds.items():
+        share = F.when(F.col("label") == k, F.lit(bound)).otherwise(share)
+    return (rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share),
+            {k: bound / (1 << 30) for k, bound in bounds.items()})
 
 
-def fit(y: np.ndarray, docs: list[np.ndarray], seed: int = 7) -> dict:
-    """The machine's parameters; ``docs`` are the documents' distinct buckets."""
-    share = float(y.mean()) if len(y) else 0.0
+def fit(y: np.ndarray, docs: list[np.ndarray], seed: int = 7, rates: dict | None = None) -> dict:
+    """The machine's parameters; ``docs`` are the documents' distinct buckets, ``rates`` the labels' sampling rates."""
+    rates = rates or {}
+    stands_for = np.where(y == 1, 1 / rates.get(1, 1.0), 1 / rates.get(0, 1.0))  # labelled rows per sampled row
+    share = float(stands_for[y == 1].sum() / stands_for.sum()) if len(y) else 0.0
     model = {"slot": np.full(BUCKETS, -1, np.int32), "w0": np.log(max(share, 1e-9) / max(1 - share, 1e-9)),
              "w": np.zeros(0), "v": np.zeros((0, FACTORS))}
     if share in (0.0, 1.0):
@@ -98,7 +107,7 @@ def fit(y: np.ndarray, docs: list[np.ndarray], seed: int = 7) -> dict:
     model["slot"][best] = np.arange(len(best))
     slots = [s[s >= 0] for s in (model["slot"][d] for d in docs)]
     rng = np.random.default_rng(seed)
-    weight = np.where(y == 1, np.sqrt((n - pos) / pos), 1.0)
+    weight = np.where(y == 1, np.sqrt((1 - share) / share), 1.0) * stands_for / stands_for.mean()
     params = [np.array([model["w0"]]), np.zeros(len(best)), rng.normal(0, 0.05, (len(best), FACTORS))]
     m, s, step = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params], 0
     for _ in range(EPOCHS):
@@ -134,7 +143,7 @@ def _raw(w, v, r, j, n, total=None) -> np.ndarray:
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", mod: int = 5, remainder: int = 0) -> dict:
     """Fit on the sample in one task; the model of FEATURES * (FACTORS + 1) numbers comes back."""
-    sample = labelled_sample(labels, label, mod, remainder, SAMPLE)
+    sample, rates = labelled_sample(labels, label, mod, remainder, SAMPLE)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -145,7 +154,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", mod: int = 5
             yield pa.RecordBatch.from_arrays([batch.column(0), list_array(own, pa.int32())], ["label", "buckets"])
 
     def learn(rows: pd.DataFrame) -> dict:
-        return fit(rows["label"].to_numpy(float), [np.asarray(x) for x in rows["buckets"]])
+        return fit(rows["label"].to_numpy(float), [np.asarray(x) for x in rows["buckets"]], rates=rates)
 
     # Broadcast: 2 * SAMPLE rows at most.
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("label", "text")

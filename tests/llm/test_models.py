@@ -35,6 +35,16 @@ def test_toxicity_edges(spark, table_of, odd_rows):
     assert all(r.held_out == held.get(str(r.doc_id), False) for r in got)
 
 
+def test_toxicity_prior_is_that_of_all_labelled_rows(spark, table_of, monkeypatch):
+    rows = [(i, "the same words in every text") for i in range(1000)]
+    docs, labels = table_of(rows), labels_of(spark, [(i, 1, int(i % 10 == 0)) for i in range(1000)])
+    full = toxicity.score(docs, toxicity.train(docs, labels)).first().score
+    monkeypatch.setattr(toxicity, "SAMPLE", 60)  # passed by the clean label, ten times over, and by the toxic one
+    got = toxicity.score(docs, toxicity.train(docs, labels)).first()
+    assert got.predicted == 0 and abs(got.score - full) < 0.1
+    assert toxicity.clean(docs, labels).count() == len(rows)
+
+
 def test_machine_learns_what_no_sum_of_weights_can():
     rng = np.random.default_rng(0)
     docs, y = [], []

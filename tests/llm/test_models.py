@@ -145,6 +145,61 @@ def test_language_model(spark, table_of, odd_rows, monkeypatch, range_bytes):
     assert abs(sum(p("a", w) for w in uni) + p("a", object()) - 1) < 1e-9
 
 
+def trigram_model(texts, discounts):
+    """p(w | a, b) by dictionaries, from its definition."""
+    counts = {1: {}, 2: {}, 3: {}}
+    for t in texts:
+        x = [1, 1] + brute.spaced(t) + [0]
+        for i in range(2, len(x)):
+            g = tuple(x[i - 2:i + 1])
+            counts[3][g] = counts[3].get(g, 0) + 1
+    firsts = {}
+    for g, c in counts[3].items():
+        firsts[g[2]] = firsts.get(g[2], 0) + c * (g[:2] == (1, 1))
+        if g[:2] != (1, 1):
+            counts[2][g[1:]] = counts[2].get(g[1:], 0) + 1
+    counts[2] |= {(1, w): c for w, c in firsts.items() if c}
+    for g in counts[2]:
+        counts[1][g[1:]] = counts[1].get(g[1:], 0) + 1
+    d = {k: discounts(*(sum(c == n for c in counts[k].values()) for n in (1, 2, 3, 4))) for k in counts}
+    seen = {}
+    for k in counts:
+        for g, c in counts[k].items():
+            seen.setdefault(g[:-1], []).append((c, d[k][min(c, 3)]))
+
+    def p(*g):
+        lower = p(*g[1:]) if len(g) > 1 else 1 / (len(counts[1]) + 1)
+        if g[:-1] not in seen:
+            return lower
+        c = counts[len(g)].get(g, 0)
+        return (max(c - d[len(g)][min(c, 3)], 0) + sum(x for _, x in seen[g[:-1]]) * lower) / sum(
+            n for n, _ in seen[g[:-1]])
+
+    return p, counts[1]
+
+
+@pytest.mark.parametrize("range_bytes", [lm.RANGE_BYTES, 40_000])
+def test_trigram_model(spark, table_of, odd_rows, monkeypatch, range_bytes):
+    monkeypatch.setattr(lm, "RANGE_BYTES", range_bytes)
+    monkeypatch.setattr(lm, "FOLD", 3)
+    assert lm.ORDER >= 3
+    docs = table_of(odd_rows)
+    folder = lm.shared_folder(spark)
+    train = docs.where(~lm.held_out(docs.doc_id, 10, 0))
+    got = lm.score(docs, folder, lm.build(train, folder, 3)).collect()
+    learnt = [t for d, t in odd_rows if d is None or zlib.crc32(str(d).encode()) % 10 != 0]
+    p, words = trigram_model(learnt, lm.discounts)
+    want = []
+    for d, t in odd_rows:
+        x = [1, 1] + brute.spaced(t) + [0]
+        want.append((str(d), len(x) - 2, sum(math.log10(p(*x[i - 2:i + 1])) for i in range(2, len(x)))))
+    have = sorted((str(r.doc_id), r.n_tokens, r.score) for r in got)
+    for a, b in zip(have, sorted(want), strict=True):
+        assert a[:2] == b[:2] and np.allclose(a[2], b[2], rtol=1e-9, atol=1e-5)
+    for u in ((1, 1), (1, "a"), ("a", "a")):
+        assert abs(sum(p(*u, *w) for w in words) + p(*u, object()) - 1) < 1e-9
+
+
 def test_language_model_without_training(spark, table_of):
     docs = table_of([(1, "a b"), (2, None)])
     folder = lm.shared_folder(spark)

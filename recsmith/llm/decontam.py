@@ -91,10 +91,18 @@ def matches(docs: DataFrame, windows: DataFrame, width: int = WINDOW, proximity:
         F.when(phrase, F.lit("phrase")).otherwise(F.lit("proximity")).alias("kind"))
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
+def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, proximity: bool = False) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
+
+    These are of exact phrases. With ``proximity`` also n_near_windows and n_near_items: the windows, and the items
+    they are of, that have a proximity match in the row but no exact phrase.
+    """
     windows = stored(test_windows(benchmark, width), "test-windows")
-    hits = stored(matches(docs, windows, width), "matches")
+    hits = stored(matches(docs, windows, width, proximity), "matches")
+    near = hits.groupBy("doc_id", "row_hash", "terms").agg(F.max(F.col("kind") == "phrase").alias("exact")).where(
+        ~F.col("exact")).join(small(windows), "terms").groupBy("doc_id", "row_hash").agg(
+        F.countDistinct("terms").alias("n_near_windows"), F.countDistinct("item_id").alias("n_near_items"))
+    hits = hits.where("kind = 'phrase'")
     spans = hits.select("doc_id", "row_hash", "start", (F.col("start") + F.size("terms")).alias("end")).distinct()
     before = Window.partitionBy("doc_id", "row_hash").orderBy("start", "end").rowsBetween(
         Window.unboundedPreceding, -1)
@@ -105,9 +113,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) ->
         "doc_id", "row_hash").agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
     key = ["doc_id", "row_hash"]
     left = tokens(docs).select(*key, F.size("words").cast("long").alias("n_words")).alias("l")
-    for right in (covered.alias("c"), items.alias("i")):
-        name = "c" if right.columns[-1] == "n_hit" else "i"
-        left = left.join(right, F.col("l.doc_id").eqNullSafe(F.col(f"{name}.doc_id"))
+    for name, right in [("c", covered), ("i", items), ("n", near)][:3 if proximity else 2]:
+        left = left.join(right.alias(name), F.col("l.doc_id").eqNullSafe(F.col(f"{name}.doc_id"))
                          & (F.col("l.row_hash") == F.col(f"{name}.row_hash")), "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     none = F.array().cast("array<string>")
@@ -115,7 +122,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) ->
         "l.doc_id", "n_words", n_hit.alias("n_hit"),
         F.size(F.coalesce("items", none)).cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", F.coalesce("items", none)), 256).alias("items_sha256"),
-        (n_hit > 0).alias("contaminated"))
+        (n_hit > 0).alias("contaminated"),
+        *(F.coalesce(c, F.lit(0)).alias(c) for c in ("n_near_windows", "n_near_items") if proximity))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
@@ -154,3 +162,9 @@ FROM docs d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)
 @query("op4_decontamination", SQL)
 def op4(spark, sf_dir):
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op4_proximity")
+def op4_proximity(spark, sf_dir):
+    """``op4_decontamination`` with the proximity matches as further columns."""
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), proximity=True)

@@ -131,6 +131,22 @@ def test_proximity(spark, table_of):
     assert [r.start for r in got if r.kind == "phrase"] == [1]
 
 
+def test_proximity_query_finds_reordered_passages(spark, tmp_path):
+    from recsmith.llm import queries
+
+    terms = "zero one two three four five six seven eight nine".split()
+    texts = ["x " + " ".join(terms) + " y", "x " + " ".join(terms[::-1]) + " y", " ".join(terms[:9]) + " y", None]
+    spark.createDataFrame([*enumerate(texts), (None, texts[1])], "doc_id long, text string").write.parquet(
+        f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(5, " ".join(terms)), (6, " ".join(terms))], "item_id long, text string").write.parquet(
+        f"{tmp_path}/benchmark.parquet")
+    got = {r.doc_id: r for r in queries.QUERIES["op4_proximity"](spark, str(tmp_path)).collect()}
+    exact = queries.QUERIES["op4_decontamination"](spark, str(tmp_path))
+    assert {r.doc_id: r[:-2] for r in got.values()} == {r.doc_id: tuple(r) for r in exact.collect()}
+    assert {d: (r.contaminated, r.n_near_windows, r.n_near_items) for d, r in got.items()} == {
+        0: (True, 0, 0), 1: (False, 1, 2), 2: (False, 0, 0), 3: (False, 0, 0), None: (False, 1, 2)}
+
+
 def test_licenses(spark, table_of, odd_rows):
     mit = license_scan.KNOWN[7][1]
     rows = odd_rows + [(50, "Copyright (c) 2020 A. Author\n\n" + mit.upper()), (51, "Released under the mit-licence!!"),

@@ -1,7 +1,9 @@
 """Quality by compression: zstandard dictionaries of good and of bad text.
 
 Two dictionaries are trained on the two labels of a bounded sample,
-``SAMPLE`` documents of each label at most. A text is cut into blocks of
+``SAMPLE`` documents of each label at most, whole texts; if those are over
+``TRAIN_BYTES`` a label, their blocks are drawn by hash, from all places in a
+text alike. A text is cut into blocks of
 ``BLOCK`` bytes, and each block is compressed by itself with either
 dictionary, so that a long text is judged by the dictionaries all through
 and not by its own beginning. The difference of the two compressed sizes, as
@@ -18,6 +20,7 @@ ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +34,7 @@ from .toxicity import labelled_sample
 SAMPLE = 3000  # labelled rows of each label, at most
 LEAST = 8
 BLOCK = 1024
+TRAIN_BYTES = 96 << 20  # of blocks a dictionary is trained on, about, at most
 DICTIONARY = 112 << 10  # bytes
 LEVEL = 3
 
@@ -40,6 +44,13 @@ def blocks(text: str | None) -> list[bytes]:
     return [data[i:i + BLOCK] for i in range(0, len(data), BLOCK)]
 
 
+def drawn(texts: list[str]) -> list[bytes]:
+    """All blocks of ``texts``, or about TRAIN_BYTES of them, by the hash of their bytes and place."""
+    total = sum(len((t or "").encode()) for t in texts)
+    keep = min(1 << 32, (TRAIN_BYTES << 32) // max(total, 1))
+    return [b for t in texts for i, b in enumerate(blocks(t)) if zlib.crc32(b, i) < keep]
+
+
 class Sizes:
     """Compressed sizes of texts by one dictionary each for bad (0) and good (1) text."""
 
@@ -61,7 +72,7 @@ def fit(y: np.ndarray, texts: list[str]) -> dict:
         return {"dictionaries": None, "share": share}
     dictionaries = []
     for own in groups:
-        seen = [b for t in own[::2] for b in blocks(t)[:64]]
+        seen = drawn(own[::2])
         try:
             dictionaries.append(zstandard.train_dictionary(DICTIONARY, seen).as_bytes())
         except zstandard.ZstdError:  # too little text to train on: the text itself

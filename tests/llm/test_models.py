@@ -97,6 +97,21 @@ def test_quality_edges(spark, table_of, odd_rows):
     assert not quality.score(table_of([]), model).collect()
 
 
+def test_quality_learns_from_all_of_a_long_text(monkeypatch):
+    rng = np.random.default_rng(0)
+    head, *tails = ("".join(map(chr, rng.integers(97, 123, n))) for n in (80_000, 10_000, 10_000))
+    y = np.array([0.0, 1.0] * 20)
+    texts = [head + tails[int(k)] for k in y]  # the labels differ past 64 KiB only
+    model = quality.fit(y, texts)
+    sizes = quality.Sizes(model["dictionaries"])
+    assert sizes.difference(tails[1]) > 0.1 > -0.1 > sizes.difference(tails[0])
+    total = sum(len(t) for t in texts)
+    assert len(b"".join(quality.drawn(texts))) == total
+    monkeypatch.setattr(quality, "TRAIN_BYTES", total // 4)
+    got = quality.drawn(texts)
+    assert 0.15 < sum(map(len, got)) / total < 0.35 and any(b.decode() in tails[0] for b in got)
+
+
 def held_out_rows(spark, name, label):
     got = queries.QUERIES[name](spark, SF).where("held_out")
     table = "documents" if label == "lang" else "labels"

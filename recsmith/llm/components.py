@@ -41,8 +41,8 @@ def _local_forest(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """(node, root): every node of ``edges(a, b)`` with the least node of its component.
 
-    The edges are dealt to tasks of ``TASK_EDGES`` or so, which merge what
-    they hold. While there are several tasks, large-star and small-star steps
+    The edges are dealt to tasks of ``TASK_EDGES`` or so by the hash of the
+    whole edge, so a large component takes many; each merges what it holds. While there are several tasks, large-star and small-star steps
     alternate with that until no edge changes, a number of rounds that grows
     with the logarithm of the node count at most. Each round is written out,
     so no lineage grows and a lost executor costs one round at most.
@@ -59,7 +59,7 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         least = large.groupBy("b").agg(F.min("a").alias("m"))
         small = large.join(least, "b").select(
             F.col("m").alias("a"), F.when(F.col("a") == F.col("m"), F.col("b")).otherwise(F.col("a")).alias("b"))
-        cur = stored(_local_forest(small.where("a <> b").repartition(tasks, "a")).distinct(), name)
+        cur = stored(_local_forest(small.where("a <> b").repartition(tasks, "a", "b")).distinct(), name)
         if (now := _digest(cur)) == seen:
             return _rooted(cur)
         seen = now

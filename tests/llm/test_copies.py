@@ -123,6 +123,20 @@ def test_components_of_chain_and_star(spark, monkeypatch, task_edges):
     assert not components.components(edges.where("a < 0")).collect()
 
 
+def test_a_large_component_takes_many_tasks(spark, monkeypatch):
+    largest, forest = [], components._local_forest
+
+    def watched(edges):
+        largest.append(max(r[1] for r in edges.groupBy(F.spark_partition_id()).count().collect()))
+        return forest(edges)
+
+    monkeypatch.setattr(components, "TASK_EDGES", 200)
+    monkeypatch.setattr(components, "_local_forest", watched)
+    got = components.components(spark.createDataFrame([(0, i) for i in range(1, 2001)], "a long, b long"))
+    assert sorted(map(tuple, got.collect())) == [(i, 0) for i in range(2001)]
+    assert max(largest) < 2 * 200
+
+
 def test_ascii_lower(spark, odd_rows):
     df = spark.createDataFrame(odd_rows, "doc_id long, text string").select("text", common.ascii_lower(F.col("text")).alias("l"))
     assert all(r.l == (None if r.text is None else brute.lower(r.text)) for r in df.collect())

@@ -3,5 +3,5 @@
 from __future__ import annotations
 
 from . import (  # noqa: F401
-    decontam, exact_dedup, language, license_scan, lm, ngram_join, packing, quality, token_counts, toxicity)
+    centroids, decontam, exact_dedup, language, license_scan, lm, ngram_join, packing, quality, token_counts, toxicity)
 from .common import ORACLE, QUERIES  # noqa: F401

@@ -62,19 +62,19 @@ _ORDER = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0
                    0xA0761D6478BD642F], np.uint64)
 
 
-def shingle_sets(col: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
+def shingle_sets(col: pa.Array, ngram: int = NGRAM) -> Iterator[tuple[int, np.ndarray]]:
     """(row, sorted distinct shingle hashes) of each text of an Arrow column."""
     for row, buf, offs in chunks(col):
         starts, ends, first = spans(buf, offs, SPACED)
         w = hashes(buf, starts, ends)
-        grams = np.zeros(max(0, len(w) - NGRAM + 1), np.uint64)
-        for k in range(NGRAM):
+        grams = np.zeros(max(0, len(w) - ngram + 1), np.uint64)
+        for k in range(ngram):
             grams += w[k:k + len(grams)] * _ORDER[k]
         grams = mix(grams)
         for i in range(len(offs) - 1):
             lo, hi = first[i], first[i + 1]
-            if hi - lo >= NGRAM:
-                s = np.sort(grams[lo:hi - NGRAM + 1])
+            if hi - lo >= ngram:
+                s = np.sort(grams[lo:hi - ngram + 1])
                 yield row + i, s[np.concatenate([[True], s[1:] != s[:-1]])]
             elif hi > lo:
                 own = w[lo:hi] * _ORDER[:hi - lo]
@@ -182,7 +182,7 @@ def sharing_enough(rows: DataFrame) -> DataFrame:
     return rows.join(enough.select("fp"), "fp", "left_semi")
 
 
-def full_sets(docs: DataFrame, reps: DataFrame) -> DataFrame:
+def full_sets(docs: DataFrame, reps: DataFrame, ngram: int = NGRAM) -> DataFrame:
     """(fp, members) of the sets whose representative row is in ``reps(key, fp)``.
 
     A filter of bounded size keeps most other texts out of the shuffle.
@@ -207,7 +207,7 @@ def full_sets(docs: DataFrame, reps: DataFrame) -> DataFrame:
         for batch in batches:
             fp, members = [], []
             want = batch.column(0).to_pylist()
-            for row, s in shingle_sets(batch.column(1)):
+            for row, s in shingle_sets(batch.column(1), ngram):
                 if set_id(s) == want[row]:
                     fp.append(want[row])
                     members.append(s.tobytes())

@@ -95,6 +95,11 @@ def first_nodes(sets: DataFrame) -> DataFrame:
     return rows.join(nodes.groupBy("k", "x1", "x2").agg(F.min("node").alias("node")), "node", "left_semi")
 
 
+def known(sets: DataFrame, rows: DataFrame) -> DataFrame:
+    """(fp, n, sig, tokens) of the sets in ``rows(fp)``; only theirs are shuffled."""
+    return setunits.among(sets.where("sig IS NOT NULL"), rows).select("fp", "n", "sig", "tokens").dropDuplicates(["fp"])
+
+
 def children(rows: DataFrame, tokens: DataFrame, depth: int) -> DataFrame:
     """(node, fp, n, above): the nodes at ``depth``, by the functions their parents choose; ``above`` is the parent's size."""
     base = TREES * BRANCH + (depth - 1) * CHOICE + 1
@@ -110,24 +115,22 @@ def join_components(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept."""
     sets = stored(read_sets(docs), "sets")
     names = sets.groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.min("key").alias("key"))
-    rows = stored(first_nodes(sets), "nodes")
-    known = stored(sets.where("sig IS NOT NULL").join(rows.select("fp").distinct(), "fp", "left_semi")
-                   .dropDuplicates(["fp"]).select("fp", "n", "sig", "tokens"), "known")
-    sig, tokens = known.select("fp", "n", "sig"), known.select("fp", "tokens")
-
-    now = stored(setunits.mixed(rows, None), "mixed")
-    found = stored(setunits.candidates(setunits.own_parts(now, 0), sig, PERCENT), "candidates")
+    now = stored(setunits.mixed(stored(first_nodes(sets), "nodes"), None), "mixed")
+    found = stored(setunits.candidates(setunits.own_parts(now, 0), known(sets, now).drop("tokens"), PERCENT), "candidates")
     wanted = found.select("fp").union(now.where("parts > 1").select("fp")).distinct()
     full = stored(full_sets(docs, names.select("key", "fp").join(wanted, "fp", "left_semi"), NGRAM), "members")
     comp = setunits.merged(None, stored(setunits.edges(found, full, PERCENT), "edges"))
 
     def compared(comp: DataFrame, units: DataFrame) -> DataFrame:
-        found = stored(setunits.candidates(units, sig, PERCENT), "candidates")
+        found = stored(setunits.candidates(units, some.select("fp", "n", "sig"), PERCENT), "candidates")
         return setunits.merged(comp, stored(setunits.edges(found, full, PERCENT), "edges"))
 
     large = now.where("parts > 1")
     for depth in range(1, DEPTH + 1):
         large, left = stored(setunits.mixed(large, comp), "mixed"), None
+        if large.isEmpty():
+            break
+        some = stored(known(sets, large), "known")  # the rest of the search is among these
         for turn in range(1, TURNS):
             before, left = left, large.count()
             if not left or (before and 2 * left > before):
@@ -139,7 +142,7 @@ def join_components(docs: DataFrame) -> DataFrame:
         if depth == DEPTH:
             comp = compared(comp, setunits.all_parts(large))
             break
-        below = stored(children(large, tokens, depth), "nodes")
+        below = stored(children(large, some.select("fp", "tokens"), depth), "nodes")
         now = setunits.mixed(below, comp)
         above = below.groupBy("node").agg(F.max("above").alias("above"))
         now = stored(now.join(above, "node").withColumn("whole", (F.col("parts") > 1) & (2 * F.col("k") > F.col("above"))),

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
 
+BATCH_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -37,11 +39,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared scratch folder and read it back.
 
     Cuts the lineage: a lost executor loses no part of it. The folder goes
-    when the application ends.
+    when the application ends. Python workers get their rows in batches of
+    ``BATCH_BYTES`` meanwhile, since rows hold texts and sets of any length.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(BATCH_CONF)
+    spark.conf.set(BATCH_CONF, BATCH_BYTES)
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(BATCH_CONF, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -26,9 +26,10 @@ from .components import components
 
 UNIT_ROWS = 512  # rows of one side of a unit
 UNIT_MEMBERS = 1 << 21  # members of their sets
-DENSITY = 8  # bits of a bitmap for each member
+DENSITY = 4  # bits of a bitmap for each member
 BLOCK_BYTES = 1 << 24  # of intermediate comparisons
 COLUMNS = 2048  # of the incidence matrix at once
+BROADCAST_ROWS = 1_000_000  # set ids sent to all tasks, at most: 8 MB
 KEY = ["node", "p", "q"]
 
 
@@ -152,6 +153,12 @@ def _frames(parts: Iterator[dict[str, np.ndarray]], columns: list[str]) -> Itera
         yield pd.DataFrame({c: np.concatenate([x[c] for x in held]) for c in columns})
 
 
+def among(sets: DataFrame, rows: DataFrame) -> DataFrame:
+    """The rows of ``sets`` whose ``fp`` is in ``rows``; where these are counted as few, before any shuffle."""
+    some = rows.select("fp").distinct()
+    return sets.join(F.broadcast(some) if some.count() <= BROADCAST_ROWS else some, "fp", "left_semi")
+
+
 def candidates(rows: DataFrame, sig: DataFrame, percent: int) -> DataFrame:
     """The rows of ``rows(node, p, q, side, fp, comp)`` that may link in their unit; ``sig`` is (fp, n, sig)."""
     columns = [*KEY, "side", "fp", "comp"]
@@ -183,7 +190,7 @@ def edges(found: DataFrame, full: DataFrame, percent: int) -> DataFrame:
 
         yield from _frames(joins(), ["a", "b"])
 
-    units = found.join(full.dropDuplicates(["fp"]), "fp").select(*KEY, "side", "comp", "members")
+    units = found.join(among(full, found).dropDuplicates(["fp"]), "fp").select(*KEY, "side", "comp", "members")
     return units.repartition(*KEY).sortWithinPartitions(*KEY).mapInPandas(run, "a long, b long").distinct()
 
 

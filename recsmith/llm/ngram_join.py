@@ -12,16 +12,18 @@ A document's set is its distinct word 5-grams. Sets link when
    ``1 + n // 16`` of its roots with others has no link, since the other set
    has three quarters of its size or more; that drops what only quotes a
    passage.
-2. Inside a root, each set is first compared with its neighbour in size,
-   then, in ``TURNS`` turns, with ``NEAR`` neighbours of other components in
-   an order drawn anew. Links found so are merged into components, so a group
-   of thousands of near copies collapses without all its pairs.
-3. Roots that still hold several components (one of those with the same sets
-   is enough) are searched whole: the dual
-   traversal of their signature trees (``sigtree``) yields the pairs that may
-   link and are not in one component. A root is cut into parts of bounded
-   size whose trees are traversed pair by pair, each in a task of its own.
-4. Every pair is verified on the full sets before it counts.
+2. Sets are first compared in their ``LEAD`` first roots, which almost all
+   sets that link share: large roots in parts of bounded size, dealt anew for
+   some turns while that still merges components. So a group of thousands of
+   near copies collapses without all its pairs.
+3. Roots that hold several components then (one of those with the same sets
+   is enough, and only sets in enough of them) are searched whole, in units
+   of bounded size: the dual traversal of signature trees (``sigtree``) tells
+   which sets of a unit may link with one of another component. A large root
+   is cut into parts that meet pair by pair, each pair in a task of its own;
+   roots of one greatest component are searched as one where that is less work.
+4. The sets left are compared in full inside their unit (``setunits``); no
+   pairs are handed on, only the components that links join.
 
 Identical sets are one node (64-bit hash of the set); shingles are 64-bit
 hashes. No documents, links or components pass the driver.
@@ -39,24 +41,21 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from . import sigtree
+from . import setunits, sigtree
 from .common import query, stored, table
-from .components import components
 from .words import SPACED, chunks, hashes, list_array, mix, spans
 
 NGRAM = 5
 FREQUENT_SHARE = 2000  # a shingle in more than one in so many documents is frequent ...
 FREQUENT_LEAST = 64  # ... and in more than so many
 COUNT_RUN = 1 << 22  # shingles a task counts at once
-TURNS, NEAR = 1, 6  # turns of comparison with so many neighbours, before the whole search
-LEAD_ROWS, SEEN_PAIRS = 400_000, 500_000  # rows dealt together, and pairs a task remembers
-PART = 1024  # sets of a root that make one tree
-SALTS = 64  # parts of a frequent root in the first comparison
-BROADCAST_ROWS = 1_000_000  # set ids sent to all tasks, at most: 8 MB
+PERCENT = 75  # of the union, that sets which link share
+LEAD = 4  # first roots of a set, for the first comparison
+TURNS = 4  # deals of large roots there, at most
+SALTS = 64  # parts of a frequent root where lonely sets are dropped
 FILTER_BITS = 1 << 24  # of the filter in front of the second reading
 _ORDER = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                    0xA0761D6478BD642F], np.uint64)
@@ -161,19 +160,18 @@ def row_key() -> Column:
 
 
 def rooted(sets: DataFrame) -> DataFrame:
-    """(root, fp, n, before, n_before): sets that share a root with another, and the one before them in it.
+    """(node, fp, n, place): sets that share a root with another; ``place`` is the root's in the set's order.
 
     Frequent roots are salted; their rows are all kept.
     """
-    light = sets.select(F.explode("early").alias("root"), "fp", "n", F.lit(-1).alias("salt"))
-    heavy = sets.select(F.explode("early_frequent").alias("root"), "fp", "n",
-                        F.pmod(F.xxhash64("fp"), F.lit(SALTS)).cast("int").alias("salt"))
-    rows = light.union(heavy).repartition("root", "salt").dropDuplicates(["root", "salt", "fp"])
-    order = Window.partitionBy("root", "salt").orderBy("n", "fp")
-    near = rows.select("root", "fp", "n", "salt", F.lag("fp").over(order).alias("before"),
-                       F.lag("n").over(order).alias("n_before"), F.lead("fp").over(order).alias("after"))
-    return near.where("before IS NOT NULL OR after IS NOT NULL OR salt >= 0").select(
-        "root", "fp", "n", "before", "n_before")
+    light = sets.select(F.posexplode("early").alias("place", "node"), "fp", "n", F.lit(-1).alias("salt"))
+    heavy = sets.select(F.posexplode("early_frequent").alias("place", "node"), "fp", "n",
+                        F.pmod(F.xxhash64("fp"), F.lit(SALTS)).cast("int").alias("salt"), F.size("early").alias("before"))
+    heavy = heavy.withColumn("place", F.col("place") + F.col("before"))
+    rows = light.union(heavy.select(light.columns)).repartition("node", "salt").dropDuplicates(["node", "salt", "fp"])
+    order = Window.partitionBy("node", "salt").orderBy("fp")
+    near = rows.withColumn("lonely", F.lag("fp").over(order).isNull() & F.lead("fp").over(order).isNull())
+    return near.where("NOT lonely OR salt >= 0").select("node", "fp", "n", "place")
 
 
 def sharing_enough(rows: DataFrame) -> DataFrame:
@@ -220,120 +218,36 @@ def full_sets(docs: DataFrame, reps: DataFrame, ngram: int = NGRAM) -> DataFrame
         parse, "fp long, members binary")
 
 
-def bounded_pairs(pairs: DataFrame, sig: DataFrame) -> DataFrame:
-    """The pairs whose bitmaps in ``sig(fp, n, sig)`` leave a link possible."""
-    both = (pairs.join(sig.select(F.col("fp").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa")), "a")
-            .join(sig.select(F.col("fp").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb")), "b"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            na, nb = (batch.column(k).to_numpy() for k in ("na", "nb"))
-            hit = []
-            for x, y, sa, sb in zip(na, nb, batch.column("sa").to_pylist(), batch.column("sb").to_pylist()):
-                size = min(len(sa), len(sb))
-                p, q = (sigtree.fold(np.frombuffer(s, np.uint8)[None], size)[0] for s in (sa, sb))
-                spare = min(x - np.bitwise_count(p).sum(dtype=np.int64), y - np.bitwise_count(q).sum(dtype=np.int64))
-                hit.append(bool(np.bitwise_count(p & q).sum(dtype=np.int64) + spare >= sigtree.needed(x, y)))
-            yield batch.filter(pa.array(hit, pa.bool_())).select(["a", "b"])
-
-    return both.mapInArrow(run, "a long, b long")
-
-
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs that link, by the overlap of their full sets in ``sets(fp, members)``; only theirs are shuffled."""
-    pairs = stored(pairs, "pairs")
-    involved = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "fp")
-    small = F.broadcast(involved) if involved.count() <= BROADCAST_ROWS else involved
-    own = sets.join(small, "fp", "left_semi")
-    both = (pairs.join(own.select(F.col("fp").alias("a"), F.col("members").alias("ma")), "a")
-            .join(own.select(F.col("fp").alias("b"), F.col("members").alias("mb")), "b"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hit = []
-            for ma, mb in zip(batch.column("ma"), batch.column("mb")):
-                x, y = (np.frombuffer(m.as_buffer(), np.uint64) for m in (ma, mb))
-                if len(x) > len(y):
-                    x, y = y, x
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                shared = int(np.count_nonzero(y[at] == x))
-                hit.append(100 * shared >= 75 * (len(x) + len(y) - shared))
-            yield batch.filter(pa.array(hit, pa.bool_())).select(["a", "b"])
-
-    return both.mapInArrow(run, "a long, b long")  # a pair may repeat, as a document's rows may
-
-
 def distinct_roots(rows: DataFrame) -> DataFrame:
-    """(root): one root of those that hold the same two sets or more."""
+    """The rows of one root of those that hold the same sets."""
     own = [F.bit_xor(F.xxhash64("fp", F.lit(k))).alias(f"x{k}") for k in (1, 2)]
-    roots = rows.groupBy("root").agg(F.count(F.lit(1)).alias("k"), *own).where("k > 1")
-    return roots.groupBy("k", "x1", "x2").agg(F.min("root").alias("root")).select("root")
-
-
-def mixed_roots(rows: DataFrame) -> DataFrame:
-    """(root, lead, parts): roots of several components, the least of these, and the parts the root is cut into."""
-    roots = rows.groupBy("root").agg(F.min("comp").alias("lead"), F.max("comp").alias("last"),
-                                     F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts"))
-    return roots.where("lead <> last").drop("last")
-
-
-def neighbours(rows: DataFrame, turn: int) -> DataFrame:
-    """Pairs (a, b) of different components and fitting sizes that stand close in an order drawn for this turn."""
-    drawn = F.xxhash64("fp", F.lit(turn))
-    rows = rows.withColumn("part", F.pmod(drawn, F.col("parts")))
-    order = Window.partitionBy("root", "part").orderBy(drawn, "fp")
-    me = F.struct("fp", "n", "comp")
-    lags = F.array(*[F.lag(me, k).over(order) for k in range(1, NEAR + 1)])
-    near = rows.select("fp", "n", "comp", lags.alias("near"))
-    near = near.select("fp", "n", "comp", F.explode("near").alias("o")).where("o IS NOT NULL AND o.comp <> comp")
-    near = near.where("100 * least(n, o.n) >= 75 * greatest(n, o.n)")
-    return near.select(F.least("fp", "o.fp").alias("a"), F.greatest("fp", "o.fp").alias("b")).distinct()
-
-
-def unit_pairs(rows: DataFrame, sig: DataFrame) -> DataFrame:
-    """Candidate pairs (a, b) of different components, by the dual traversal of each root's trees."""
-    # Roots of one leading component mostly hold the same sets: they go to one task, as far as that
-    # is bounded by LEAD_ROWS, which then gives each of their pairs once.
-    shares = rows.groupBy("lead").agg(F.ceil(F.sum("parts") / LEAD_ROWS).alias("shares"))
-    rows = rows.join(shares, "lead").withColumn("share", F.pmod(F.xxhash64("root"), F.col("shares")))
-    own = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
-    rows = rows.select("lead", "share", "root", "fp", "comp", own.alias("own"),
-                       F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
-    rows = rows.join(sig, "fp").select(
-        "lead", "share", "root", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
-        "fp", "comp", "n", "sig", (F.col("own") > F.col("other")).cast("int").alias("side"))
-
-    def pairs_of(pdf: pd.DataFrame) -> pd.DataFrame:
-        side, fp = pdf["side"].to_numpy(np.int64), pdf["fp"].to_numpy(np.int64)
-        if pdf["p"].iloc[0] != pdf["q"].iloc[0] and side.min() == side.max():
-            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        i, j = sigtree.candidates(pdf["sig"].tolist(), pdf["n"].to_numpy(np.int64), pdf["comp"].to_numpy(np.int64), side)
-        return pd.DataFrame({"a": np.minimum(fp[i], fp[j]), "b": np.maximum(fp[i], fp[j])})
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None  # the last unit may go on in the next batch; a unit has 2 * PART rows or so
-        seen: set[tuple[int, int]] = set()
-        for pdf in batches:
-            pdf = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
-            key = pdf[["root", "p", "q"]].to_numpy()
-            first = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(axis=1)]))
-            out = [pairs_of(pdf.iloc[s:e]) for s, e in zip(first[:-1], first[1:])]
-            if out:
-                yield fresh(pd.concat(out), seen)
-            held = pdf.iloc[first[-1]:]
-        if held is not None:
-            yield fresh(pairs_of(held), seen)
-
-    def fresh(pairs: pd.DataFrame, seen: set) -> pd.DataFrame:
-        """The pairs that this task has not given lately."""
-        if len(seen) > SEEN_PAIRS:
-            seen.clear()
-        own = set(zip(pairs["a"].tolist(), pairs["b"].tolist())) - seen
-        seen |= own
-        return pd.DataFrame(list(own), columns=["a", "b"], dtype="int64")
-
-    units = rows.repartition("lead", "share", "p", "q").sortWithinPartitions("lead", "share", "root", "p", "q")
-    return units.mapInPandas(run, "a long, b long").distinct()
+    nodes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("c"), *own)
+    return rows.join(nodes.groupBy("c", "x1", "x2").agg(F.min("node").alias("node")), "node", "left_semi")
+
+
+def may_link(sig: np.ndarray, n: np.ndarray, comp: np.ndarray, side: np.ndarray, percent: int) -> np.ndarray:
+    """Which rows of a unit are in a pair that the dual traversal of its signature trees leaves possible."""
+    hit = np.zeros(len(n), bool)
+    if (comp != comp[0]).any():
+        for rows in sigtree.candidates(list(sig), n, comp, side if side.min() != side.max() else None):
+            hit[rows] = True
+    return hit
+
+
+def united(rows: DataFrame) -> DataFrame:
+    """``rows(node, fp, n, comp)`` of large mixed roots; those of one greatest component become one node, named by
+    it, where comparing its sets with the others takes fewer pairs than in all the roots."""
+    size = rows.groupBy("node", "comp").agg(F.count(F.lit(1)).alias("c"))
+    size = size.groupBy("node").agg(F.max(F.struct("c", "comp")).alias("top"), F.sum("c").alias("k"))
+    size = size.select("node", F.col("top.comp").alias("main"), "k", (F.col("k") * (F.col("k") - F.col("top.c"))).alias("w"))
+    apart = size.groupBy("main").agg(F.sum("w").alias("apart"))
+    one = rows.join(size.select("node", "main"), "node").groupBy("main", "fp").agg(
+        F.first("n").alias("n"), F.first("comp").alias("comp"))
+    whole = one.groupBy("main").agg(F.count(F.lit(1)).alias("k"), F.count_if(F.col("comp") != F.col("main")).alias("r"))
+    unite = whole.join(apart, "main").where("k * r < apart").select("main")
+    left = rows.join(size.join(unite, "main", "left_anti").select("node"), "node", "left_semi")
+    return left.select("node", "fp", "n", "comp").union(
+        one.join(unite, "main", "left_semi").select(F.col("main").alias("node"), "fp", "n", "comp"))
 
 
 def join_components(docs: DataFrame) -> DataFrame:
@@ -341,27 +255,36 @@ def join_components(docs: DataFrame) -> DataFrame:
     sets = stored(read_sets(docs, frequent_shingles(docs)), "sets")
     nodes = sets.groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.min("key").alias("key"))
     rows = stored(sharing_enough(stored(rooted(sets), "roots")), "roots")
-    sig = sets.where("sig IS NOT NULL").select("fp", "n", "sig").join(
-        rows.select("fp").distinct(), "fp", "left_semi").dropDuplicates(["fp"])
-    sig = stored(sig, "bitmaps")
-
-    near = rows.where("before IS NOT NULL AND 100 * n_before >= 75 * n").select(
-        F.least("before", "fp").alias("a"), F.greatest("before", "fp").alias("b")).distinct()
-    full = stored(full_sets(docs, nodes.select("key", "fp").join(sig.select("fp"), "fp", "left_semi")), "members")
-    links = stored(verified(bounded_pairs(near, sig), full), "links")
-    comp = components(links).select(F.col("node").alias("fp"), F.col("root").alias("comp"))
-
-    size = stored(rows.select("root", "fp", "n").join(distinct_roots(rows), "root", "left_semi"), "roots")
-    for turn in range(TURNS + 1):
-        labelled = size.join(comp, "fp", "left").withColumn("comp", F.coalesce("comp", "fp"))
-        labelled = stored(labelled, "labelled")
-        rest = stored(labelled.join(mixed_roots(labelled), "root"), "mixed")
-        pairs = bounded_pairs(neighbours(rest, turn), sig) if turn < TURNS else unit_pairs(rest, sig)
-        found = stored(verified(pairs, full), "links")
-        if found.isEmpty():
-            continue
-        merged = comp.where("fp <> comp").select(F.col("comp").alias("a"), F.col("fp").alias("b")).union(found)
-        comp = components(merged).select(F.col("node").alias("fp"), F.col("root").alias("comp"))
+    sig = stored(setunits.among(sets.where("sig IS NOT NULL").select("fp", "n", "sig"), rows).dropDuplicates(["fp"]),
+                 "bitmaps")
+    reps = nodes.select("key", "fp")
+
+    def found_in(units: DataFrame, own: DataFrame) -> DataFrame:
+        return stored(setunits.candidates(units, own, PERCENT, may_link), "candidates")
+
+    def linked(comp: DataFrame | None, found: DataFrame) -> DataFrame:
+        return setunits.merged(comp, stored(setunits.edges(found, full, PERCENT), "edges"))
+
+    first = stored(setunits.mixed(distinct_roots(rows.where(F.col("place") < LEAD)), None), "mixed")
+    found = found_in(setunits.own_parts(first, 0), sig)
+    wanted = found.select("fp").union(first.where("parts > 1").select("fp")).distinct()
+    full = stored(full_sets(docs, reps.join(wanted, "fp", "left_semi")), "members")
+    comp, left = linked(None, found), None
+    for turn in range(1, TURNS):
+        first = stored(setunits.mixed(first.where("parts > 1"), comp), "mixed")
+        before, left = left, first.count()
+        if not left or (before and 2 * left > before):
+            break
+        comp = linked(comp, found_in(setunits.own_parts(first, turn), setunits.among(sig, first)))
+
+    # A set has enough roots in common with one of another component, and these are all mixed.
+    rest = stored(sharing_enough(stored(setunits.mixed(rows, comp), "mixed")), "mixed")
+    rest = stored(setunits.mixed(distinct_roots(rest), comp), "mixed")
+    found = found_in(setunits.own_parts(rest.where("parts = 1"), 0).union(
+        setunits.all_parts(united(rest.where("parts > 1")))), sig)
+    missing = found.select("fp").distinct().join(full.select("fp"), "fp", "left_anti")
+    full = full.union(stored(full_sets(docs, reps.join(missing, "fp", "left_semi")), "members"))
+    comp = linked(comp, found)
 
     named = nodes.join(comp, "fp", "left").select("fp", "doc_id", F.coalesce("comp", "fp").alias("comp"))
     least = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"))

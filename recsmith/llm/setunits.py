@@ -6,7 +6,7 @@ steps, both in bounded memory:
 
 1. bitmaps: a row goes on if some row of another component may link with it,
    by the bits their bitmaps share plus the members that fell on occupied
-   bits (no link is lost);
+   bits (no link is lost), or by another test that loses none;
 2. full sets of the rows left: the overlap of all their pairs at once, as a
    product of the incidence matrix of the shingles that two or more hold.
 
@@ -159,14 +159,14 @@ def among(sets: DataFrame, rows: DataFrame) -> DataFrame:
     return sets.join(F.broadcast(some) if some.count() <= BROADCAST_ROWS else some, "fp", "left_semi")
 
 
-def candidates(rows: DataFrame, sig: DataFrame, percent: int) -> DataFrame:
+def candidates(rows: DataFrame, sig: DataFrame, percent: int, test=may_link) -> DataFrame:
     """The rows of ``rows(node, p, q, side, fp, comp)`` that may link in their unit; ``sig`` is (fp, n, sig)."""
     columns = [*KEY, "side", "fp", "comp"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def found():
             for unit in _units(batches):
-                hit = may_link(unit["sig"], unit["n"], unit["comp"], unit["side"], percent)
+                hit = test(unit["sig"], unit["n"], unit["comp"], unit["side"], percent)
                 if hit.any():
                     yield {c: unit[c][hit] for c in columns}
 

@@ -7,7 +7,7 @@ fell on an occupied bit (``spare``); a pair of nodes whose maximum possible
 overlap is below what its smallest sizes need is left with all its leaves.
 So is a pair whose leaves are all in one component already.
 
-Bitmaps are as wide as the power of two from ``2 * size`` on; to be compared
+Bitmaps are as wide as the power of two from ``4 * size`` on; to be compared
 the wider one is folded to the narrower one's width, which keeps the bound.
 """
 
@@ -21,7 +21,7 @@ STEP = 2048  # node pairs whose bitmaps are compared at once
 
 def width(n: int) -> int:
     """Bytes of the bitmap of a set of ``n`` members."""
-    return max(8, 1 << max(0, (2 * n - 1).bit_length() - 3))
+    return max(8, 1 << max(0, (4 * n - 1).bit_length() - 3))
 
 
 def bitmap(members: np.ndarray) -> np.ndarray:

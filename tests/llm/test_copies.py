@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from hypothesis import given, settings, strategies as st
 
-from recsmith.llm import common, components, exact_dedup, ngram_join, sigtree
+from recsmith.llm import common, components, exact_dedup, ngram_join, setunits, sigtree
 
 from . import brute
 
@@ -44,6 +44,37 @@ def test_exact_groups_odd_rows(table_of, odd_rows):
     assert not exact_dedup.exact_groups(table_of([])).collect()
 
 
+def loose(seed, n, changes=9):
+    """Near copies of one text, each pair linked or not by the words changed; a third only quotes it."""
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(2000)]
+    base = rng.choices(words, k=120)
+    out = []
+    for i in range(n):
+        own = list(base)
+        for _ in range(rng.randint(0, changes)):
+            own[rng.randrange(len(own))] = rng.choice(words)
+        out.append(" ".join(own if i % 3 else own[:60] + rng.choices(words, k=60)))
+    return list(enumerate(out))
+
+
+@pytest.mark.parametrize("unit", [25, 70])
+def test_loose_group_in_large_roots(table_of, monkeypatch, unit):
+    monkeypatch.setattr(setunits, "UNIT_ROWS", unit)
+    rows = loose(4, 420)
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.join_components(table_of(rows)).collect())
+    assert got == sorted(brute.near_components(rows))
+
+
+def test_roots_of_one_main_component_unite_where_that_is_less_work(spark):
+    rows = [(node, fp, 5, 1 if fp < 20 else fp) for node in (7, 8, 9) for fp in range(24)]  # the same sets: united
+    rows += [(11, fp, 5, 2) for fp in range(100, 130)] + [(11, 200, 5, 200)]
+    rows += [(12, 100, 5, 2), (12, 101, 5, 2), (12, 300, 5, 300)]  # united it would meet all sets of component 2
+    got = ngram_join.united(spark.createDataFrame(rows, "node long, fp long, n long, comp long")).collect()
+    assert sorted(tuple(r) for r in got) == sorted([(1, fp, 5, c) for n, fp, _, c in rows if n == 7]
+                                                   + [r for r in rows if r[0] in (11, 12)])
+
+
 def test_one_of_each_keeps_columns(table_of, odd_rows):
     docs = table_of(odd_rows)
     got = exact_dedup.one_of_each(docs)
@@ -72,7 +103,7 @@ def test_ngram_join(table_of, odd_rows, monkeypatch, parts):
     if parts:  # many frequent shingles, roots in many parts
         monkeypatch.setattr(ngram_join, "FREQUENT_LEAST", 3)
         monkeypatch.setattr(ngram_join, "FREQUENT_SHARE", 10 ** 6)
-        monkeypatch.setattr(ngram_join, "PART", 4)
+        monkeypatch.setattr(setunits, "UNIT_ROWS", 20)
     got = sorted((str(r.doc_id), r.n_shingles, r.component_id) for r in ngram_join.join_components(table_of(rows)).collect())
     want = sorted((str(d), n, c if n else d) for d, n, c in brute.near_components(rows))
     assert got == want

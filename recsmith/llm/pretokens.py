@@ -47,8 +47,16 @@ def byte_encoding(path: str):
 
 
 def token_ids(path: str, text: str) -> np.ndarray:
-    """uint32 ids; special strings inside the text are special tokens, as by the library's default."""
-    return byte_encoding(path).encode_to_numpy(text, allowed_special="all")
+    """uint32 ids; special strings inside the text are special tokens, as by the library's default.
+
+    The encoder of the rank file gives up on some very long runs, such as a million blanks; the library, with the
+    same vocabulary as .json beside it, then reads the text.
+    """
+    try:
+        return byte_encoding(path).encode_to_numpy(text, allowed_special="all")
+    except ValueError:
+        whole = library(os.path.splitext(path)[0] + ".json").encode(text, add_special_tokens=False)
+        return np.array(whole.ids, np.uint32)
 
 
 def default_path(name: str) -> str:

@@ -68,6 +68,14 @@ def test_packing(table_of, odd_rows):
     assert not packing.pack(table_of([]), pretokens.default_path(pretokens.BYTE_RANKS)).collect()
 
 
+def test_packing_of_very_long_runs(spark):
+    texts = [" " * 10 ** 6, "\n" * 10 ** 6, "^" * 10 ** 6, "a" * 10 ** 6, "word " * 50 + " \n" * 200_000 + "end", " "]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    tok = pretokens.library(pretokens.default_path("byte_bpe_50k.json"))
+    want = [(i, tok.encode(t, add_special_tokens=False).ids + [0]) for i, t in enumerate(texts)]
+    check_pieces(packing.pack(docs, pretokens.default_path(pretokens.BYTE_RANKS)).collect(), want)
+
+
 def test_assign_balances_cost():
     rng = np.random.default_rng(1)
     lengths = rng.integers(1, 700, 500)

@@ -226,12 +226,13 @@ def distinct_roots(rows: DataFrame) -> DataFrame:
 
 
 def may_link(sig: np.ndarray, n: np.ndarray, comp: np.ndarray, side: np.ndarray, percent: int) -> np.ndarray:
-    """Which rows of a unit are in a pair that the dual traversal of its signature trees leaves possible."""
-    hit = np.zeros(len(n), bool)
+    """The groups of a unit's rows that the pairs left by the dual traversal of its signature trees connect."""
+    i = j = np.empty(0, np.int64)
     if (comp != comp[0]).any():
-        for rows in sigtree.candidates(list(sig), n, comp, side if side.min() != side.max() else None):
-            hit[rows] = True
-    return hit
+        i, j = sigtree.candidates(list(sig), n, comp, side if side.min() != side.max() else None)
+        apart = comp[i] != comp[j]
+        i, j = i[apart], j[apart]
+    return setunits.grouped(len(n), i, j)
 
 
 def united(rows: DataFrame) -> DataFrame:

@@ -31,6 +31,7 @@ BLOCK_BYTES = 1 << 24  # of intermediate comparisons
 COLUMNS = 2048  # of the incidence matrix at once
 BROADCAST_ROWS = 1_000_000  # set ids sent to all tasks, at most: 8 MB
 KEY = ["node", "p", "q"]
+GROUP = [*KEY, "grp"]
 
 
 def bitmap(members: np.ndarray) -> bytes:
@@ -46,8 +47,9 @@ def parts(rows, members):
 
 
 def may_link(bitmaps: np.ndarray, size: np.ndarray, comp: np.ndarray, side: np.ndarray, percent: int) -> np.ndarray:
-    """Which rows have a row of another component, and of the other side if there are two, that may link with them."""
-    hit = np.zeros(len(size), bool)
+    """The group of each row, -1 for none: the rows joined by pairs of different components, and of different sides if
+    there are two, that may link."""
+    pairs = []
     cross = side.min() != side.max()
     widths = np.array([len(b) for b in bitmaps])
     own = {int(w): np.flatnonzero(widths == w) for w in np.unique(widths)}
@@ -74,10 +76,26 @@ def may_link(bitmaps: np.ndarray, size: np.ndarray, comp: np.ndarray, side: np.n
                 ok &= comp[i][:, None] != comp[others][None]
                 if cross:
                     ok &= side[i][:, None] != side[others][None]
-                hit[i] |= ok.any(axis=1)
-                hit[others] |= ok.any(axis=0)
+                x, y = np.nonzero(ok)
+                pairs.append((i[x], others[y]))
             v *= 2
-    return hit
+    return grouped(len(size), *(np.concatenate([p[k] for p in pairs]) for k in (0, 1)))
+
+
+def grouped(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Labels 0 .. n - 1 of the rows that the pairs (i, j) connect, -1 for rows in no pair."""
+    label = np.arange(n)
+    while len(i):
+        low = label.copy()
+        np.minimum.at(low, i, label[j])
+        np.minimum.at(low, j, label[i])
+        low = low[low]
+        if (low == label).all():
+            break
+        label = low
+    alone = np.ones(n, bool)
+    alone[i] = alone[j] = False
+    return np.where(alone, -1, label)
 
 
 def overlaps(members: list[np.ndarray]) -> np.ndarray:
@@ -123,14 +141,14 @@ def linked_components(members: list[np.ndarray], comp: np.ndarray, side: np.ndar
     return kinds[pairs[:, 0]], kinds[pairs[:, 1]]
 
 
-def _units(batches: Iterator[pd.DataFrame]) -> Iterator[dict[str, np.ndarray]]:
+def _units(batches: Iterator[pd.DataFrame], by: list[str]) -> Iterator[dict[str, np.ndarray]]:
     """The columns of whole units of sorted batches, one unit at a time."""
     held = None
     for pdf in batches:
         cols = {c: pdf[c].to_numpy() for c in pdf.columns}
         if held is not None:
             cols = {c: np.concatenate([held[c], x]) for c, x in cols.items()}
-        key = np.stack([cols[c] for c in KEY])
+        key = np.stack([cols[c] for c in by])
         cut = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1
         edges = [0, *cut.tolist()]
         for s, e in zip(edges[:-1], edges[1:]):
@@ -160,21 +178,23 @@ def among(sets: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def candidates(rows: DataFrame, sig: DataFrame, percent: int, test=may_link) -> DataFrame:
-    """The rows of ``rows(node, p, q, side, fp, comp)`` that may link in their unit; ``sig`` is (fp, n, sig)."""
+    """(node, p, q, grp, side, fp, comp): the rows of ``rows(node, p, q, side, fp, comp)`` that may link in their unit,
+    by groups that possible links connect; ``sig`` is (fp, n, sig)."""
     columns = [*KEY, "side", "fp", "comp"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def found():
-            for unit in _units(batches):
-                hit = test(unit["sig"], unit["n"], unit["comp"], unit["side"], percent)
+            for unit in _units(batches, KEY):
+                grp = test(unit["sig"], unit["n"], unit["comp"], unit["side"], percent)
+                hit = grp >= 0
                 if hit.any():
-                    yield {c: unit[c][hit] for c in columns}
+                    yield {c: unit[c][hit] for c in columns} | {"grp": grp[hit]}
 
-        yield from _frames(found(), columns)
+        yield from _frames(found(), [*GROUP, *columns[len(KEY):]])
 
     units = rows.join(sig, "fp").select(*columns, "n", "sig")
     return units.repartition(*KEY).sortWithinPartitions(*KEY).mapInPandas(
-        run, "node long, p int, q int, side int, fp long, comp long")
+        run, "node long, p int, q int, grp int, side int, fp long, comp long")
 
 
 def edges(found: DataFrame, full: DataFrame, percent: int) -> DataFrame:
@@ -182,7 +202,7 @@ def edges(found: DataFrame, full: DataFrame, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def joins():
-            for unit in _units(batches):
+            for unit in _units(batches, GROUP):
                 members = [np.frombuffer(m, np.uint64) for m in unit["members"]]
                 a, b = linked_components(members, unit["comp"], unit["side"], percent)
                 if len(a):
@@ -190,8 +210,13 @@ def edges(found: DataFrame, full: DataFrame, percent: int) -> DataFrame:
 
         yield from _frames(joins(), ["a", "b"])
 
-    units = found.join(among(full, found).dropDuplicates(["fp"]), "fp").select(*KEY, "side", "comp", "members")
-    return units.repartition(*KEY).sortWithinPartitions(*KEY).mapInPandas(run, "a long, b long").distinct()
+    # Sets that link mostly meet in several units: one of the groups that hold the same is enough.
+    own = [F.bit_xor(F.xxhash64("fp", "side", F.lit(k))).alias(f"x{k}") for k in (1, 2)]
+    groups = found.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("c"), *own)
+    groups = groups.groupBy("c", "x1", "x2").agg(F.min(F.struct(*GROUP)).alias("g")).select("g.*")
+    units = found.join(groups, GROUP, "left_semi")
+    units = units.join(among(full, found).dropDuplicates(["fp"]), "fp").select(*GROUP, "side", "comp", "members")
+    return units.repartition(*GROUP).sortWithinPartitions(*GROUP).mapInPandas(run, "a long, b long").distinct()
 
 
 def own_parts(rows: DataFrame, turn: int) -> DataFrame:

@@ -1,17 +1,20 @@
 """Page extraction as DataFrame jobs over a ``pages(page_id, url, html)``
 table (J1-J5, K1).
 
-Each page is cut into item blocks with ``split`` + ``posexplode`` and the
-fields are read with ``regexp_extract``: built-in expressions, one pass,
-no HTML library per row. Default markers are those of the collection,
-profile, comment and user-home pages; all are parameters.
+A page is read as a stream of tags (``functions.markup``): elements by class
+or id with all that is nested in them, attributes in any order and quoting,
+texts without tags and with their entities decoded. Built-in expressions, one
+pass, no HTML library per row. Texts of several matches are joined by a blank.
+Class names and ids are those of the collection, profile, comment and
+user-home pages; all are parameters. Pages of other markup can be cut at a
+marker instead (``extract_marked_items``).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import text as X
+from ..functions import markup as H, text as X
 
 # Markup of the crawled pages. ``(?s).*?`` is used rather
 # than ``[\s\S]*?``: same matches, several times faster in Java's engine.
@@ -19,12 +22,11 @@ ITEM_MARKER = r'<div class="(?:[^"]*\s)?item(?:\s[^"]*)?">'
 ITEM_TITLE = r'(?s)<div class="info">.*?<em>(.*?)</em>'
 ITEM_LINK = r'(?s)<div class="info">.*?<a href="([^"]*)"'
 ITEM_SUMMARY = r'(?s)<li class="intro">(.*?)</li>'
-PROFILE_NAME = r'(?s)<div class="side-info-txt">\s*<h3>(.*?)</h3>'
-PROFILE_HEADING = r'(?s)<div class="info">\s*<h1>(.*?)</h1>'
 COMMENT_MARKER = r'<div class="(?:[^"]*\s)?comment-item(?:\s[^"]*)?">'
-COMMENT_LINK = r'(?s)<span class="comment-info">.*?<a href="([^"]*)"[^>]*>([^<]*)</a>'
-HOME_SECTION = r'(?s)<div id="movie">(.*?)(?:<div id="|\z)'  # to the next section or the end
-HOME_LINK = r'<span class="pl">\s*<a href="([^"]*)"[^>]*>([^<]*)</a>'
+ITEM, INFO, INTRO = "item", "info", "intro"
+SIDE, PAGINATOR = "side-info-txt", "paginator"
+COMMENT, COMMENTER = "comment-item", "comment-info"
+SECTION, COUNT = "movie", "pl"
 COLLECT_WORD = "collect"
 HEAVY_MIN = 900
 ATTR_CLASS = "nbg"
@@ -44,14 +46,46 @@ def _field(block: Column, pattern: str, group: int = 1) -> Column:
     return F.trim(F.regexp_extract(block, pattern, group))
 
 
-def extract_items(pages: DataFrame, item_marker: str = ITEM_MARKER, title_pattern: str = ITEM_TITLE,
-                  link_pattern: str = ITEM_LINK, summary_pattern: str = ITEM_SUMMARY,
+def tagged(pages: DataFrame, keep) -> DataFrame:
+    """(keep..., tags): the pages as streams of tags.
+
+    The streams come out of a generator, and so do the elements taken from them: the optimiser would copy a plain
+    column's expression into each of its uses, filters included, and compute it again there.
+    """
+    return pages.select(*keep, F.explode_outer(F.array(H.stream(F.col("html")))).alias("tags"))
+
+
+def each(rows: DataFrame, found: Column, keep) -> DataFrame:
+    """(keep..., pos, tags): one row per element in ``found``."""
+    return rows.select(*keep, F.posexplode_outer(found).alias("pos", "tags")).where("pos IS NOT NULL")
+
+
+def extract_items(pages: DataFrame, item: str = ITEM, info: str = INFO, intro: str = INTRO,
                   keep=("page_id",)) -> DataFrame:
-    """Collection page -> one row per item: (title, item_url, summary, score).
+    """Collection page -> one row per element of class ``item``: (title, item_url, summary, score).
 
-    The score is the first ``rating<d>-t`` class inside the item, 0 when
-    the item carries none (seen but unrated).
+    The title is the text of the ``em`` elements, the address that of the
+    first link, both of class ``info`` inside the item. The score is the first
+    ``rating<d>-t`` inside the item, 0 when it carries none (seen but unrated).
     """
+    b = each(tagged(pages, keep), H.of_class(F.col("tags"), item), keep)
+    b = b.select(*keep, "pos", F.explode_outer(F.array(H.inner(F.col("tags")))).alias("item"))
+    b = b.select(*keep, "pos", H.html_of(F.col("item")).alias("inside"),
+                 H.html_of(F.flatten(H.of_class(F.col("item"), info))).alias("info"),
+                 H.of_class(F.col("item"), intro).alias("intro"))
+    return b.select(
+        *keep, "pos",
+        F.array_join(H.texts(F.col("info"), "em"), " ").alias("title"),
+        F.coalesce(F.trim(H.attribute(H.first_tag(F.col("info"), "a"), "href")), F.lit("")).alias("item_url"),
+        F.array_join(F.transform("intro", lambda t: H.text_of(H.html_of(t))), " ").alias("summary"),
+        X.extract_score(F.col("inside")).alias("score"),
+    )
+
+
+def extract_marked_items(pages: DataFrame, item_marker: str = ITEM_MARKER, title_pattern: str = ITEM_TITLE,
+                         link_pattern: str = ITEM_LINK, summary_pattern: str = ITEM_SUMMARY,
+                         keep=("page_id",)) -> DataFrame:
+    """The columns of ``extract_items`` by patterns over the raw markup behind each marker, not decoded."""
     b = blocks(pages, item_marker, keep)
     return b.select(
         *keep, "pos",
@@ -62,78 +96,79 @@ def extract_items(pages: DataFrame, item_marker: str = ITEM_MARKER, title_patter
     )
 
 
-def extract_profile(pages: DataFrame, name_pattern: str = PROFILE_NAME,
-                    heading_pattern: str = PROFILE_HEADING, keep=("page_id",)) -> DataFrame:
+def extract_profile(pages: DataFrame, name_pattern: str | None = None,
+                    heading_pattern: str | None = None, keep=("page_id",)) -> DataFrame:
     """Profile page -> (user_name, declared_total, page_count).
 
-    ``page_count`` is 1 on a page without a paginator.
+    The name is the ``h3`` of the side text, the total the first number in
+    brackets of the ``h1`` of class ``info``; a pattern over the raw markup
+    replaces either. ``page_count`` is 1 on a page without a paginator.
     """
-    html = F.col("html")
-    return pages.select(
+    html, tags = F.col("html"), F.col("tags")
+    part = lambda cls: H.html_of(F.flatten(H.of_class(tags, cls)))
+    b = tagged(pages, [*keep, "html"]).select(
         *keep,
-        _field(html, name_pattern).alias("user_name"),
-        X.extract_total(F.regexp_extract(html, heading_pattern, 1)).alias("declared_total"),
-        X.extract_page_count(html).alias("page_count"),
-    )
+        (_field(html, name_pattern) if name_pattern else
+         F.array_join(H.texts(part(SIDE), "h3"), " ")).alias("user_name"),
+        (F.regexp_extract(html, heading_pattern, 1) if heading_pattern else
+         F.array_join(H.texts(part(INFO), "h1"), " ")).alias("heading"),
+        F.transform(H.links(part(PAGINATOR)), lambda x: x["text"]).alias("pages"))
+    last_but_one = F.when(F.size("pages") >= 2, F.element_at("pages", -2)).try_cast("int")
+    return b.select(*keep, "user_name", X.extract_total("heading").alias("declared_total"),
+                    F.coalesce(last_but_one, F.lit(1)).alias("page_count"))
 
 
-def extract_commenters(pages: DataFrame, marker: str = COMMENT_MARKER, link_pattern: str = COMMENT_LINK,
+def extract_commenters(pages: DataFrame, comment: str = COMMENT, commenter: str = COMMENTER,
                        keep=("page_id",)) -> DataFrame:
     """Comment page -> one row per comment: (user_url, user_name).
 
     The display name is normalised (blanks -> '-'). Comments without a
     user link are dropped.
     """
-    b = blocks(pages, marker, keep)
+    b = each(tagged(pages, keep), H.of_class(F.col("tags"), comment), keep)
+    b = b.select(*keep, "pos", F.explode_outer(F.array(
+        H.links(H.html_of(F.flatten(H.of_class(F.col("tags"), commenter)))))).alias("a"))
     out = b.select(
-        *keep, "pos",
-        F.regexp_extract(F.col("block"), link_pattern, 1).alias("user_url"),
-        X.normalise_name(F.trim(F.regexp_extract(F.col("block"), link_pattern, 2))).alias("user_name"),
-    )
+        *keep, "pos", F.get("a", F.lit(0))["href"].alias("user_url"),
+        X.normalise_name(F.array_join(F.transform("a", lambda x: x["text"]), " ")).alias("user_name"))
     return out.filter(F.col("user_url") != "")
 
 
-def link_pairs(html: Column, link_pattern: str) -> Column:
-    """All (href, text) pairs of ``link_pattern`` (two groups) in page order."""
-    hrefs = F.regexp_extract_all(html, F.lit(link_pattern), F.lit(1))
-    texts = F.regexp_extract_all(html, F.lit(link_pattern), F.lit(2))
-    return F.arrays_zip(hrefs.alias("href"), texts.alias("text"))
+def home_links(pages: DataFrame, section: str = SECTION, count: str = COUNT, keep=("page_id",)) -> DataFrame:
+    """(keep..., links): the links, as (href, text), of the elements of class ``count`` below the section."""
+    b = each(tagged(pages, keep), F.slice(H.of_id(F.col("tags"), section), 1, 1), keep)
+    return b.select(*keep, F.explode_outer(F.array(
+        H.links(H.html_of(F.flatten(H.of_class(F.col("tags"), count)))))).alias("links"))
 
 
-def extract_collection_link(pages: DataFrame, section_pattern: str = HOME_SECTION,
-                            link_pattern: str = HOME_LINK, must_contain: str = COLLECT_WORD,
-                            min_count: int = HEAVY_MIN, keep=("page_id",)) -> DataFrame:
+def extract_collection_link(pages: DataFrame, section: str = SECTION, count: str = COUNT,
+                            must_contain: str = COLLECT_WORD, min_count: int = HEAVY_MIN,
+                            keep=("page_id",)) -> DataFrame:
     """User home -> the first link whose href contains ``must_contain``
-    and whose text starts with a number above ``min_count`` (B3, B4, G10).
+    and whose text holds a first number above ``min_count`` (B3, B4, G10).
 
     Pages without the section, or without such a link, give no row. The
     result is the seed form of the link (href + '?', G15).
     """
-    section = F.regexp_extract(F.col("html"), section_pattern, 1)
-    pairs = link_pairs(section, link_pattern)
-    hits = F.filter(pairs, lambda p: p["href"].contains(must_contain)
+    hits = F.filter("links", lambda p: p["href"].contains(must_contain)
                     & (F.coalesce(X.extract_first_number(p["text"]), F.lit(-1)) > min_count))
-    first = F.element_at(hits, 1)
-    return (pages.select(*keep, F.when(F.size(hits) > 0, first).alias("_hit"))
-            .filter(F.col("_hit").isNotNull())
-            .select(*keep, X.seed_url(F.col("_hit.href")).alias("collect_url"),
-                    X.extract_first_number(F.col("_hit.text")).alias("n_collected")))
+    found = home_links(pages, section, count, keep).select(*keep, F.explode_outer(F.slice(hits, 1, 1)).alias("hit"))
+    return found.where("hit IS NOT NULL").select(
+        *keep, X.seed_url(F.col("hit.href")).alias("collect_url"),
+        X.extract_first_number(F.col("hit.text")).alias("n_collected"))
 
 
-def extract_attr(pages: DataFrame, item_marker: str = ITEM_MARKER, class_name: str = ATTR_CLASS,
+def extract_attr(pages: DataFrame, item: str = ITEM, class_name: str = ATTR_CLASS,
                  attr: str = ATTR_NAME, keep=("page_id",)) -> DataFrame:
-    """Per item, an attribute of the element of class ``class_name``
-    (the title of the poster link), whichever order the two attributes have."""
-    b = blocks(pages, item_marker, keep)
-    after = rf'<[a-z]+[^>]*class="{class_name}"[^>]*{attr}="([^"]*)"'
-    before = rf'<[a-z]+[^>]*{attr}="([^"]*)"[^>]*class="{class_name}"'
-    val = F.coalesce(F.nullif(F.regexp_extract("block", after, 1), F.lit("")),
-                     F.nullif(F.regexp_extract("block", before, 1), F.lit("")))
-    return b.select(*keep, "pos", val.alias(attr)).filter(F.col(attr).isNotNull())
+    """Per item, an attribute of its first element of class ``class_name`` (the title of the poster link)."""
+    b = each(tagged(pages, keep), H.of_class(F.col("tags"), item), keep)
+    tag = F.regexp_extract(H.html_of(H.inner(F.col("tags"))), H.with_class(class_name), 0)
+    b = b.select(*keep, "pos", F.explode_outer(F.array(tag)).alias("tag"))
+    return b.select(*keep, "pos", H.attribute(F.col("tag"), attr).alias(attr)).filter(F.col(attr) != "")
 
 
-def ingest_pages(pages: DataFrame, n_partitions: int | None = None, name_pattern: str = PROFILE_NAME,
-                 heading_pattern: str = PROFILE_HEADING, keep=("page_id", "url")) -> DataFrame:
+def ingest_pages(pages: DataFrame, n_partitions: int | None = None, name_pattern: str | None = None,
+                 heading_pattern: str | None = None, keep=("page_id", "url")) -> DataFrame:
     """K1: profile extraction with a per-page ``status`` instead of a
     swallowed exception: 'ok', 'no_name' or 'no_total'.
 
@@ -146,131 +181,3 @@ def ingest_pages(pages: DataFrame, n_partitions: int | None = None, name_pattern
               .when(F.col("declared_total").isNull(), F.lit("no_total"))
               .otherwise(F.lit("ok")))
     return prof.withColumn("status", status)
-
-
-# --- J1 fallback: a small stdlib HTML parser per page, in Arrow batches ----------------------------------
-
-_VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
-
-
-class _ItemParser:
-    """Collects items of a collection page by class names, not by exact
-    markup: ``.item`` blocks, the first link and the ``em`` text inside
-    ``.info``, the ``.intro`` text and the first ``rating<d>-t`` class."""
-
-    def __init__(self):
-        import re
-        from html.parser import HTMLParser
-
-        outer = self
-        self.rating = re.compile(X.RATING_PATTERN)
-
-        class P(HTMLParser):
-            def handle_starttag(self, tag, attrs):
-                outer.start(tag, dict(attrs))
-
-            def handle_startendtag(self, tag, attrs):
-                outer.start(tag, dict(attrs))
-                outer.end(tag)
-
-            def handle_endtag(self, tag):
-                outer.end(tag)
-
-            def handle_data(self, data):
-                outer.data(data)
-
-        self.parser = P(convert_charrefs=True)
-
-    def parse(self, html: str):
-        self.stack, self.items, self.cur = [], [], None
-        self.parser.reset()
-        self.parser.feed(html or "")
-        self.parser.close()
-        if self.cur is not None:
-            self.items.append(self.cur)
-        return self.items
-
-    def _classes(self):
-        return [c for _, cls in self.stack for c in cls]
-
-    def start(self, tag, attrs):
-        cls = (attrs.get("class") or "").split()
-        if "item" in cls:
-            if self.cur is not None:
-                self.items.append(self.cur)
-            self.cur = {"depth": len(self.stack), "title": None, "url": None, "summary": None, "score": None,
-                        "in_em": False, "in_intro": False}
-        if self.cur is not None:
-            if self.cur["score"] is None:
-                m = self.rating.search(attrs.get("class") or "")
-                if m:
-                    self.cur["score"] = int(m.group(1))
-            inside_info = "info" in self._classes() or "info" in cls
-            if inside_info and tag == "a" and self.cur["url"] is None:
-                self.cur["url"] = attrs.get("href") or ""
-            if inside_info and tag == "em" and self.cur["title"] is None:
-                self.cur["in_em"], self.cur["title"] = True, ""
-            if "intro" in cls and self.cur["summary"] is None:
-                self.cur["in_intro"], self.cur["summary"] = True, ""
-        if tag not in _VOID:
-            self.stack.append((tag, cls))
-
-    def end(self, tag):
-        if tag in _VOID:
-            return
-        while self.stack:
-            t, cls = self.stack.pop()
-            if self.cur is not None:
-                if t == "em":
-                    self.cur["in_em"] = False
-                if "intro" in cls:
-                    self.cur["in_intro"] = False
-                if len(self.stack) <= self.cur["depth"]:
-                    self.items.append(self.cur)
-                    self.cur = None
-            if t == tag:
-                break
-
-    def data(self, text):
-        if self.cur is not None:
-            if self.cur["in_em"]:
-                self.cur["title"] += text
-            if self.cur["in_intro"]:
-                self.cur["summary"] += text
-
-
-def extract_items_parsed(pages: DataFrame, keep=("page_id",)) -> DataFrame:
-    """J1 by an HTML parser instead of fixed markers: same output as
-    ``extract_items`` (keep..., pos, title, item_url, summary, score).
-
-    Runs per page inside ``mapInPandas`` (Arrow batches); use it where the
-    markup varies too much for the marker form."""
-    import pandas as pd
-    from pyspark.sql import types as T
-
-    keep = list(keep)
-    fields = [pages.schema[c] for c in keep] + [
-        T.StructField("pos", T.IntegerType()), T.StructField("title", T.StringType()),
-        T.StructField("item_url", T.StringType()), T.StructField("summary", T.StringType()),
-        T.StructField("score", T.IntegerType())]
-    schema = T.StructType(fields)
-
-    def run(batches):
-        parser = _ItemParser()
-        for pdf in batches:
-            out = {c: [] for c in schema.fieldNames()}
-            for row in pdf.itertuples(index=False):
-                for pos, it in enumerate(parser.parse(row.html)):
-                    for c in keep:
-                        out[c].append(getattr(row, c))
-                    out["pos"].append(pos)
-                    out["title"].append((it["title"] or "").strip())
-                    out["item_url"].append((it["url"] or "").strip())
-                    out["summary"].append((it["summary"] or "").strip())
-                    out["score"].append(it["score"] or 0)
-            frame = pd.DataFrame(out)
-            frame["pos"] = frame["pos"].astype("int32")
-            frame["score"] = frame["score"].astype("int32")
-            yield frame
-
-    return pages.select(*keep, "html").mapInPandas(run, schema)

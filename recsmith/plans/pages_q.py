@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..operators import ingest as I, pages as P
 from ..sources import markup as M, tables as T
+from . import markup_variants as V
 from .oracle import with_
 from .registry import query
 
@@ -100,8 +101,34 @@ SELECT page_id, pos,
 FROM blk""")
 def q_extract_items_pages(spark, d):
     # The nav list items of the real pages, read as item blocks.
-    return P.extract_items(T.table(spark, d, "pages"), item_marker="<li>",
-                           title_pattern=r'<a href="[^"]*">([^<]*)</a>', link_pattern=r'href="([^"]*)"')
+    return P.extract_marked_items(T.table(spark, d, "pages"), item_marker="<li>",
+                                  title_pattern=r'<a href="[^"]*">([^<]*)</a>', link_pattern=r'href="([^"]*)"')
+
+
+@query("extract_items_variants", V.ITEMS_SQL)
+def q_extract_items_variants(spark, d):
+    """J1 over markup of many forms; the expected rows come from the facts, not from the markup."""
+    return P.extract_items(V.collection_pages(spark, d))
+
+
+@query("extract_attr_variants", V.ATTR_SQL)
+def q_extract_attr_variants(spark, d):
+    return P.extract_attr(V.collection_pages(spark, d))
+
+
+@query("extract_commenters_variants", V.COMMENTERS_SQL)
+def q_extract_commenters_variants(spark, d):
+    return P.extract_commenters(V.comment_pages(spark, d))
+
+
+@query("extract_profile_variants", with_(USER_COUNTS) + V.PROFILE_SQL)
+def q_extract_profile_variants(spark, d):
+    return P.extract_profile(V.profile_pages(spark, d))
+
+
+@query("extract_collection_link_variants", with_(USER_COUNTS) + V.LINK_SQL)
+def q_extract_collection_link_variants(spark, d):
+    return P.extract_collection_link(V.home_pages(spark, d))
 
 
 # --- J2, K1, G9, G11 ------------------------------------------------------------------------
@@ -194,8 +221,7 @@ def q_extract_collection_link(spark, d):
 SELECT page_id, href, TRY_CAST(nullif(regexp_extract(txt, '(\d+)', 1), '') AS INT) AS n
 FROM hl WHERE coalesce(TRY_CAST(nullif(regexp_extract(txt, '(\d+)', 1), '') AS INT), -1) > 900""")
 def q_filter_heavy_users(spark, d):
-    links = M.home_pages(spark, d).select(
-        "page_id", F.explode(P.link_pairs(F.regexp_extract("html", P.HOME_SECTION, 1), P.HOME_LINK)).alias("p"))
+    links = P.home_links(M.home_pages(spark, d)).select("page_id", F.explode("links").alias("p"))
     got = links.select("page_id", F.col("p.href").alias("href"), X.extract_first_number("p.text").alias("n"))
     return I.filter_heavy_users(got, P.HEAVY_MIN)
 

@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.ingest import dedup_by_key
-from ..operators.pages import extract_items
+from ..operators.pages import extract_items, extract_marked_items
 from ..session import scratch_path
 
 PAGES_SCHEMA = T.StructType([
@@ -87,6 +87,6 @@ def stream_ingest_pages(spark: SparkSession, source_dir: str, target: str | None
 
 def nav_items(pages: DataFrame) -> DataFrame:
     """The nav-list links of a page read as items (title, item_url)."""
-    got = extract_items(pages, item_marker="<li>", title_pattern=r'<a href="[^"]*">([^<]*)</a>',
+    got = extract_marked_items(pages, item_marker="<li>", title_pattern=r'<a href="[^"]*">([^<]*)</a>',
                         link_pattern=r'href="([^"]*)"')
     return got.filter(F.col("item_url") != "").select("item_url", "title")

@@ -1,3 +1,6 @@
+from pyspark.sql import functions as F
+
+from recsmith.functions import markup as H
 from recsmith.operators import pages as P
 
 COLLECTION = (
@@ -69,13 +72,39 @@ VARIANT = (
     '</div>')
 
 
-def test_parser_matches_markers_on_canonical_markup(spark):
-    df = pages(spark, COLLECTION)
-    a = sorted(tuple(r) for r in P.extract_items(df).collect())
-    b = sorted(tuple(r) for r in P.extract_items_parsed(df).collect())
-    assert a == b
+def test_markup_variants(spark):
+    got = [tuple(r) for r in P.extract_items(pages(spark, VARIANT)).orderBy("pos").collect()]
+    assert got == [(0, 0, "T1 & more", "U1", "S1", 5), (0, 1, "T2", "U2", "", 0)]
 
 
-def test_parser_handles_markup_variants(spark):
-    got = [tuple(r) for r in P.extract_items_parsed(pages(spark, VARIANT)).orderBy("pos").collect()]
-    assert got == [(0, 0, "T1 & more", "U1", "S1", 5), (0, 1, "T2", "U2", "", 0)]
+def test_odd_pages(spark):
+    df = pages(spark, None, "", "no markup", "<div class='item'><div class=info><em>cut off", '<p class="item"/>',
+               '<div class="item"><img class="info"></div>')
+    got = [tuple(r) for r in P.extract_items(df).orderBy("page_id").collect()]
+    assert got == [(3, 0, "", "", "", 0), (4, 0, "", "", "", 0), (5, 0, "", "", "", 0)]
+    assert P.extract_commenters(df).count() == P.extract_collection_link(df).count() == P.extract_attr(df).count() == 0
+    assert [tuple(r)[1:] for r in P.extract_profile(df).orderBy("page_id").collect()][1:] == [("", None, 1)] * 5
+
+
+def test_long_pages(spark):
+    """Very long texts, tags and runs of elements neither end the job nor lose elements."""
+    page = ('<div class="article"><!-- ' + "x" * 200_000 + ' --><p title="' + "y" * 200_000 + '">' + "z<" * 50_000 + "</p>"
+            + '<div class="item"><div class="info"><a href="u"><em>t</em></a></div></div>' * 500 + "</div>")
+    got = P.extract_items(pages(spark, page)).collect()
+    assert [r.pos for r in got] == list(range(500)) and {(r.title, r.item_url) for r in got} == {("t", "u")}
+
+
+def test_text_and_attributes_equal_an_html_parser(spark):
+    from html import unescape
+
+    raw = ["&amp;lt; &lt;", "&#65;&#x42;&#0;&#xD800;", "&nope; & &amp", "a &nbsp; b", "&copy;&hellip;&euro;", "1 &lt 2",
+           "&#128512; &amp;#38;", ""]
+    want = [" ".join(unescape(x).replace("\u00a0", " ").split()) for x in raw]
+    want[1], want[2], want[5] = "AB\ufffd\ufffd", "&nope; & &amp", "1 &lt 2"  # a reference ends with a semicolon
+    df = spark.createDataFrame(list(enumerate(raw)), "i int, s string")
+    got = [r.t for r in df.select("i", H.text_of(F.col("s")).alias("t")).orderBy("i").collect()]
+    assert got == want
+    tag = """<a data-x='href="no"' HREF = "u?a=1&amp;b=2" title=plain empty="">"""
+    row = spark.createDataFrame([(tag,)], "t string").select(
+        *[H.attribute(F.col("t"), n).alias(n) for n in ("href", "title", "empty", "none")]).first()
+    assert tuple(row) == ("u?a=1&b=2", "plain", "", None)

@@ -120,7 +120,7 @@ def build_rec_lists(ratings: DataFrame, rank: int = MAIN_RANK, user_n: int = USE
 
 
 def evaluate_als(ratings: DataFrame, rank: int = EVAL_RANK, ks=E.K_GRID, seed: int = 42) -> DataFrame:
-    """D11 with ALS: hash 80/20 split, fit on train, recommend once at
+    """D11 with ALS: hash 80/20 split, fit on train, one top-n list at
     max(ks) for the test users (E4), one aggregation over ks."""
     # The ratings feed the fit, the recommended users and the hit join:
     # written once to the shared checkpoint folder instead of recomputed.

@@ -1,13 +1,18 @@
 """Benchmark decontamination by a positional inverted index, in DataFrame functions only.
 
-The index is built over the corpus for the terms that the benchmark needs:
-first the length of each benchmark term's posting list, then, for each test
-window, the list of its rarest term. A posting holds the document, the
-position and the terms at the neighbouring positions, that is the slice of
-all other lists that an offset could reach from here. A window's lists are
-intersected on that slice, each shifted by its offset in the window. All
-terms in place make an exact phrase; all terms present in any order make a
-proximity match. A window with a term of no postings is dropped.
+The index holds the postings (term, document row, position) of every corpus
+word that the benchmark uses, written once to the shared scratch folder. The
+lists' lengths are counted from it. Each test window starts from the list of
+its rarest term; the lists of its other terms are intersected with what is
+left, next rarest first, each shifted by the difference of the two offsets.
+A start at which every list has its posting is an exact phrase. A proximity
+match is a posting of the rarest term with a posting of every other term of
+the window less than ``width`` positions away, in any order; its lists are
+intersected block of positions by block of positions. A window with a term
+without postings is dropped before any list is read.
+
+Join keys hold the document and the position, so the list of a very frequent
+term is spread over all tasks.
 
 Words: A-Z lower-cased, digits, letters and all non-ASCII characters.
 Null or empty text has no words, no hits and no items. Rows that repeat a
@@ -24,7 +29,8 @@ from .common import ascii_lower, query, stored, table
 
 WINDOW = 10
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-BROADCAST_ROWS = 1_000_000  # benchmark windows or terms; beyond it the joins shuffle
+BROADCAST_ROWS = 1_000_000  # rows of a broadcast side; beyond it the joins shuffle
+SALTS = 64  # tasks a hot term's words are dealt to where the benchmark's side is not broadcast
 
 
 def words(text: Column) -> Column:
@@ -32,7 +38,7 @@ def words(text: Column) -> Column:
 
 
 def small(df: DataFrame) -> DataFrame:
-    """Mark a benchmark-side table for broadcast if it is counted as small."""
+    """Mark a table for broadcast if it is counted as small."""
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
@@ -49,25 +55,83 @@ def tokens(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.xxhash64("text").alias("row_hash"), words(F.col("text")).alias("words"))
 
 
-def anchored_windows(docs: DataFrame, windows: DataFrame) -> DataFrame:
-    """(terms, anchor, off): each distinct window with its rarest term in the corpus and that term's offset."""
-    distinct = windows.select("terms").distinct()
-    at = distinct.select("terms", F.posexplode("terms").alias("off", "term"))
-    vocabulary = small(at.select("term").distinct())
-    lengths = (tokens(docs).select(F.explode("words").alias("term")).join(vocabulary, "term")
-               .groupBy("term").agg(F.count(F.lit(1)).alias("n")))
-    rarest = at.join(lengths, "term", "left").groupBy("terms").agg(
-        F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "off", "term")).alias("a"))
-    return rarest.where("a.n > 0").select("terms", F.col("a.term").alias("anchor"), F.col("a.off").alias("off"))
+def by_key(large: DataFrame, side: DataFrame, key: str) -> DataFrame:
+    """Inner join of postings or words with a benchmark-side table; beyond the broadcast a hot key is salted."""
+    if side.count() <= BROADCAST_ROWS:
+        return large.join(F.broadcast(side), key)
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    return large.withColumn("salt", F.pmod(F.hash("row_hash", "pos"), F.lit(SALTS))).join(
+        side.withColumn("salt", salts), [key, "salt"]).drop("salt")
 
 
-def postings(docs: DataFrame, terms: DataFrame, reach: int) -> DataFrame:
-    """(anchor, doc_id, row_hash, pos, lead, near): postings of ``terms`` with ``reach`` positions on either side."""
-    at = tokens(docs).select("doc_id", "row_hash", "words", F.posexplode("words").alias("pos", "anchor"))
-    lead = F.least(F.col("pos"), F.lit(reach))
-    return at.join(small(terms), "anchor").select(
-        "anchor", "doc_id", "row_hash", "pos", lead.alias("lead"),
-        F.slice("words", F.col("pos") - lead + 1, lead + reach + 1).alias("near"))
+def posting_index(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """(term_id, doc_id, row_hash, pos), written: every occurrence in ``docs`` of the terms of ``vocabulary``."""
+    at = tokens(docs).select("doc_id", "row_hash", F.posexplode("words").alias("pos", "term"))
+    return stored(by_key(at, vocabulary, "term").select("term_id", "doc_id", "row_hash", "pos"), "postings")
+
+
+def term_lists(at: DataFrame, index: DataFrame) -> DataFrame:
+    """(window_id, lists), written: a window's (n, off, term_id), rarest first; ``n`` is the list's length.
+
+    ``at`` is (window_id, off, term_id). Windows with an empty list are left out.
+    """
+    lengths = index.groupBy("term_id").agg(F.count(F.lit(1)).alias("n"))
+    lists = at.join(lengths, "term_id", "left").groupBy("window_id").agg(F.array_sort(F.collect_list(
+        F.struct(F.coalesce("n", F.lit(0)).alias("n"), "off", "term_id"))).alias("lists"))
+    return stored(lists.where(F.col("lists")[0]["n"] > 0), "term-lists")
+
+
+CANDIDATE = ["window_id", "doc_id", "row_hash", "pos", "off"]  # a posting of the window's rarest term
+
+
+def anchors(index: DataFrame, lists: DataFrame) -> DataFrame:
+    """Every posting of each window's rarest term, once, as ``CANDIDATE`` columns."""
+    rarest = lists.select("window_id", F.col("lists")[0]["term_id"].alias("term_id"),
+                          F.col("lists")[0]["off"].alias("off"))
+    return by_key(index, rarest, "term_id").select(*CANDIDATE).distinct()
+
+
+def intersected(found: DataFrame, index: DataFrame, lists: DataFrame, reach: int | None = None) -> DataFrame:
+    """The rows of ``found`` for which every list of their window has a posting in place.
+
+    In place is the term's own offset from the rarest term, or with ``reach``
+    at most that many positions from it. The second and the third rarest lists
+    are taken alone, the others together: few candidates are left by then.
+    """
+    if reach is None:
+        others, block = F.slice("lists", 2, F.size("lists")), 1
+    else:
+        first = F.col("lists")[0]["term_id"]
+        others = F.array_distinct(F.transform(
+            F.filter("lists", lambda x: x["term_id"] != first),
+            lambda x: F.struct(x["n"].alias("n"), F.lit(0).alias("off"), x["term_id"].alias("term_id"))))
+        block = 2 * reach + 1
+    lists = lists.select("window_id", others.alias("others"))
+    blocks = index.withColumn("block", F.floor(F.col("pos") / block).cast("int"))
+    for step, (start, length) in enumerate([(1, 1), (2, 1), (3, None)]):
+        part = F.slice("others", start, F.size("others") if length is None else length)
+        step_lists = small(lists.select("window_id", part.alias("part")))
+        due = found.join(step_lists, "window_id")
+        need = due.select(*CANDIDATE, F.size("part").alias("due"), F.explode("part").alias("t"))
+        if reach is None:
+            at = F.array((F.col("pos") - F.col("off") + F.col("t.off")).cast("int"))
+        else:
+            at = F.sequence(F.floor(F.greatest(F.col("pos") - reach, F.lit(0)) / block).cast("int"),
+                            F.floor((F.col("pos") + reach) / block).cast("int"))
+        need = need.select(*CANDIDATE, "due", F.col("t.off").alias("t_off"), F.col("t.term_id").alias("term_id"),
+                           F.explode(at).alias("block"))
+        terms = lists.select(F.explode(part).alias("t")).select("t.term_id").distinct()
+        read = blocks.join(small(terms), "term_id", "left_semi")
+        n, i = small(need).alias("n"), read.alias("i")
+        on = ((F.col("n.term_id") == F.col("i.term_id")) & (F.col("n.block") == F.col("i.block"))
+              & (F.col("n.row_hash") == F.col("i.row_hash")) & F.col("n.doc_id").eqNullSafe(F.col("i.doc_id")))
+        if reach is not None:
+            on &= F.abs(F.col("n.pos") - F.col("i.pos")) <= reach
+        hit = i.join(n, on).groupBy(*(F.col(f"n.{c}") for c in CANDIDATE), F.col("n.due")).agg(
+            F.size(F.collect_set(F.struct("n.t_off", "n.term_id"))).alias("got"))
+        found = stored(hit.where("got = due").select(*CANDIDATE).unionByName(
+            due.where(F.size("part") == 0).select(*CANDIDATE)), f"intersected-{step}")
+    return found
 
 
 def matches(docs: DataFrame, windows: DataFrame, width: int = WINDOW, proximity: bool = False) -> DataFrame:
@@ -76,19 +140,26 @@ def matches(docs: DataFrame, windows: DataFrame, width: int = WINDOW, proximity:
     ``start`` is the window's first word in the document; for a proximity
     match the first word of the neighbourhood that holds all terms.
     """
-    anchored = stored(anchored_windows(docs, windows), "windows")
-    index = postings(docs, anchored.select("anchor").distinct(), width - 1)
-    found = index.join(small(anchored), "anchor")
-    first = F.col("lead") - F.col("off")
-    phrase = (first >= 0) & (F.slice("near", F.greatest(first, F.lit(0)) + 1, F.size("terms")) == F.col("terms"))
+    distinct = stored(windows.select("terms").distinct().withColumn(
+        "window_id", F.monotonically_increasing_id()), "distinct-windows")
+    at = distinct.select("window_id", F.posexplode("terms").alias("off", "term"))
+    vocabulary = stored(at.select("term").distinct().withColumn(
+        "term_id", F.monotonically_increasing_id()), "vocabulary")
+    index = posting_index(docs, vocabulary)
+    lists = term_lists(at.join(vocabulary, "term").drop("term"), index)
+    found = stored(anchors(index, lists), "anchors")
+    first = (F.col("pos") - F.col("off")).cast("int")
+    phrases = intersected(found.where(first >= 0), index, lists)
+    got = phrases.select("window_id", "doc_id", "row_hash", first.alias("start"), F.lit("phrase").alias("kind"))
     if proximity:
-        found = found.where(phrase | (F.size(F.array_except("terms", "near")) == 0))
-    else:
-        found = found.where(phrase)
-    return found.select(
-        "doc_id", "row_hash", "terms",
-        F.when(phrase, F.col("pos") - F.col("off")).otherwise(F.col("pos") - F.col("lead")).alias("start"),
-        F.when(phrase, F.lit("phrase")).otherwise(F.lit("proximity")).alias("kind"))
+        f, p = intersected(found, index, lists, width - 1).alias("f"), phrases.alias("p")
+        loose = f.join(p, (F.col("f.window_id") == F.col("p.window_id")) & (F.col("f.row_hash") == F.col("p.row_hash"))
+                       & (F.col("f.pos") == F.col("p.pos")) & F.col("f.doc_id").eqNullSafe(F.col("p.doc_id")),
+                       "left_anti")
+        got = got.unionByName(loose.select(
+            "window_id", "doc_id", "row_hash", F.greatest(F.col("pos") - (width - 1), F.lit(0)).alias("start"),
+            F.lit("proximity").alias("kind")))
+    return got.join(small(distinct), "window_id").drop("window_id")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, proximity: bool = False) -> DataFrame:

@@ -74,6 +74,21 @@ def contamination(text, found):
     return len(w), len(hit), sorted(map(str, items))
 
 
+def term_matches(text, found, corpus, width=10):
+    """(terms, start, kind) of each window: at every posting of its rarest term (ties: the earliest) the exact
+    phrase, or else a neighbourhood of ``width`` - 1 words on either side that holds all its terms."""
+    count, w, out = Counter(x for t in corpus for x in alnum(t)), alnum(text), set()
+    for terms in found:
+        off = min(range(len(terms)), key=lambda i: (count[terms[i]], i))
+        for pos in (p for p, x in enumerate(w) if x == terms[off]):
+            lo = max(0, pos - width + 1)
+            if pos >= off and tuple(w[pos - off:pos - off + len(terms)]) == terms:
+                out.add((terms, pos - off, "phrase"))
+            elif set(terms) <= set(w[lo:pos + width]):
+                out.add((terms, lo, "proximity"))
+    return out
+
+
 def bigram_model(texts, discounts):
     """p(w | u), unigram counts, N and V of the training texts; 0 is the end, 1 the start."""
     toks = [spaced(t) + [0] for t in texts]

@@ -131,6 +131,22 @@ def test_decontaminate(spark, table_of, odd_rows, corpus):
     assert not decontam.decontaminate(table_of(docs), bench.where("item_id < 0")).where("contaminated").collect()
 
 
+def test_matches_without_broadcast(spark, table_of, odd_rows, monkeypatch):
+    """Phrase and proximity matches equal brute force where every join shuffles and hot terms are salted."""
+    rng = random.Random(5)
+    vocab = [*"abcdefghijklmno", *["the"] * 8]
+    items = [(i, " ".join(rng.choices(vocab, k=rng.choice([1, 2, 4, 6])))) for i in range(12)] + [(20, "zz a"), (21, None)]
+    docs = odd_rows[:14] + [(100 + i, " ".join(rng.choices(vocab, k=rng.randint(0, 25)))) for i in range(40)] * 2
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    monkeypatch.setattr(decontam, "BROADCAST_ROWS", 0)
+    got = decontam.matches(table_of(docs), decontam.test_windows(bench, 4), 4, proximity=True)
+    got = {(str(r.doc_id), r.row_hash, tuple(r.terms), r.start, r.kind) for r in got.collect()}
+    hashes = {(str(r.doc_id), r.text): r.h for r in table_of(docs).selectExpr("doc_id", "text", "xxhash64(text) h").collect()}
+    assert got == {(str(d), hashes[str(d), t], *m) for d, t in docs for m in brute.term_matches(
+        t, brute.windows(items, 4), [t for _, t in docs], 4)}
+    assert {k[4] for k in got} == {"phrase", "proximity"}
+
+
 def test_proximity(spark, table_of):
     bench = spark.createDataFrame([(1, "a b c d e f g h i j")], "item_id long, text string")
     docs = table_of([(1, "x a b c d e f g h i j y"), (2, "x j i h g f e d c b a"), (3, "a b c d e f g h i y")])

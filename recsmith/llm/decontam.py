@@ -30,6 +30,7 @@ from .common import ascii_lower, query, stored, table
 WINDOW = 10
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BROADCAST_ROWS = 1_000_000  # rows of a broadcast side; beyond it the joins shuffle
+ROW_BITS = 1 << 25  # bits of the broadcast bitmap of candidate documents: 524,288 rows of 64
 SALTS = 64  # tasks a hot term's words are dealt to where the benchmark's side is not broadcast
 
 
@@ -81,6 +82,19 @@ def term_lists(at: DataFrame, index: DataFrame) -> DataFrame:
     return stored(lists.where(F.col("lists")[0]["n"] > 0), "term-lists")
 
 
+def of_rows(index: DataFrame, found: DataFrame) -> DataFrame:
+    """The postings of documents that ``found`` names, and few others: a bitmap of row hashes is broadcast.
+
+    It has at most ``ROW_BITS`` / 64 rows whatever the input; with very many
+    documents it lets more postings through, which the joins then drop.
+    """
+    word = F.pmod(F.shiftright("row_hash", 6), F.lit(ROW_BITS // 64))
+    bit = F.expr("shiftleft(1L, cast(row_hash & 63 AS int))")
+    marks = found.select(word.alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    return index.withColumn("word", word).join(F.broadcast(marks), "word").where(
+        F.col("bits").bitwiseAND(bit) != 0).drop("word", "bits")
+
+
 CANDIDATE = ["window_id", "doc_id", "row_hash", "pos", "off"]  # a posting of the window's rarest term
 
 
@@ -121,8 +135,8 @@ def intersected(found: DataFrame, index: DataFrame, lists: DataFrame, reach: int
         need = need.select(*CANDIDATE, "due", F.col("t.off").alias("t_off"), F.col("t.term_id").alias("term_id"),
                            F.explode(at).alias("block"))
         terms = lists.select(F.explode(part).alias("t")).select("t.term_id").distinct()
-        read = blocks.join(small(terms), "term_id", "left_semi")
-        n, i = small(need).alias("n"), read.alias("i")
+        read = of_rows(blocks.join(small(terms), "term_id", "left_semi"), found)
+        n, i = need.alias("n"), read.alias("i")
         on = ((F.col("n.term_id") == F.col("i.term_id")) & (F.col("n.block") == F.col("i.block"))
               & (F.col("n.row_hash") == F.col("i.row_hash")) & F.col("n.doc_id").eqNullSafe(F.col("i.doc_id")))
         if reach is not None:

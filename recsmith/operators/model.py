@@ -1,9 +1,12 @@
 """ALS model: fit, factors, predictions, top-N lists, rank grid (H1-H3, H6,
 E3, E4, G4, G5, D7, D8).
 
-Spark ML's ALS is called, not rewritten: it is blocked and distributed,
-and ``recommendForAllUsers`` is a blocked product with a per-block top-k,
-so nothing is collected. The reference's regex over ``str(Row)`` becomes a
+Spark ML's ALS is called, not rewritten: it is blocked and distributed.
+Its lists come from ``recommendForAllUsers``, a blocked product of every user
+with every item, or, with ``bounds``, from ``bounded.top_products``, which skips
+the items that a bound rules out: many where the items' norms spread or their
+directions cluster, none where both are even, and then the blocked product is
+about twice as fast. The lists are the same. Nothing is collected. The reference's regex over ``str(Row)`` becomes a
 plain field projection.
 """
 
@@ -18,8 +21,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import cut_lineage, scratch_dir
 from . import evaluate as E
+from .bounded import top_products
 from .ratings import split_ratings
-from .similarity import neighbour_lists, similar_items
+from .similarity import auto_block_size, neighbour_lists, similar_items
 
 # The reference's ALS settings.
 MAX_ITER = 5
@@ -86,19 +90,53 @@ def rec_ids(recs: DataFrame, key: str = "userId", field: str = "movieId", out: s
     return recs.select(F.col(key), F.col(f"recommendations.{field}").alias(out))
 
 
-def als_user_recs(model: ALSModel, n: int = USER_RECS) -> DataFrame:
+def _factor_recs(factors: DataFrame, others: DataFrame, n: int, key: str, field: str,
+                 report: dict | None = None) -> DataFrame:
+    """The nested form of Spark ML's recommendations: (key, recommendations of (field, rating)), best first."""
+    n_others = others.count()
+    block = auto_block_size(n_others, factors.sparkSession.sparkContext.defaultParallelism)
+    best = top_products(factors.select("id", F.col("features").alias("v")),
+                        others.select("id", F.col("features").alias("v")), n, block_size=block, n_items=n_others,
+                        report=report)
+    ranked = F.array_sort(F.collect_list(F.struct("rank", "other_id", "score")))  # n rows a key at most
+    return best.groupBy("id").agg(ranked.alias("l")).select(
+        F.col("id").cast("int").alias(key),
+        F.transform("l", lambda r: F.struct(r["other_id"].cast("int").alias(field),
+                                            r["score"].cast("float").alias("rating"))).alias("recommendations"))
+
+
+def als_recs(model: ALSModel, n: int = USER_RECS, bounds: bool = False, users: DataFrame | None = None,
+             report: dict | None = None) -> DataFrame:
+    """The n best items of every user, or of the distinct ``users`` (column userId) that have factors, as
+    (userId, recommendations). With ``bounds``, equal scores are ordered by item id."""
+    if bounds:
+        asked = model.userFactors
+        if users is not None:
+            asked = asked.join(users.select(F.col("userId").alias("id")), "id", "left_semi")
+        return _factor_recs(asked, model.itemFactors, n, "userId", "movieId", report)
+    return model.recommendForAllUsers(n) if users is None else model.recommendForUserSubset(users.select("userId"), n)
+
+
+def als_user_recs(model: ALSModel, n: int = USER_RECS, bounds: bool = False) -> DataFrame:
     """E3 + G4: top-n items per user -> (user_id, item_ids)."""
-    return rec_ids(model.recommendForAllUsers(n)).select(F.col("userId").alias("user_id"), "item_ids")
+    return rec_ids(als_recs(model, n, bounds)).select(F.col("userId").alias("user_id"), "item_ids")
 
 
-def als_subset_recs(model: ALSModel, users: DataFrame, n: int) -> DataFrame:
+def als_subset_recs(model: ALSModel, users: DataFrame, n: int, bounds: bool = False) -> DataFrame:
     """Top-n for the distinct users of ``users`` (column userId)."""
-    return model.recommendForUserSubset(users.select("userId"), n)
+    return als_recs(model, n, bounds, users)
 
 
-def als_item_audience(model: ALSModel, n: int = USER_RECS) -> DataFrame:
+def als_item_recs(model: ALSModel, n: int = USER_RECS, bounds: bool = False) -> DataFrame:
+    """The n best users of every item as (movieId, recommendations)."""
+    if bounds:
+        return _factor_recs(model.itemFactors, model.userFactors, n, "movieId", "userId")
+    return model.recommendForAllItems(n)
+
+
+def als_item_audience(model: ALSModel, n: int = USER_RECS, bounds: bool = False) -> DataFrame:
     """Top-n users per item -> (item_id, user_ids)."""
-    return rec_ids(model.recommendForAllItems(n), key="movieId", field="userId", out="user_ids").select(
+    return rec_ids(als_item_recs(model, n, bounds), key="movieId", field="userId", out="user_ids").select(
         F.col("movieId").alias("item_id"), "user_ids")
 
 

@@ -2,8 +2,11 @@
 
 SQL cannot run ALS, but it can tell what must hold of its output. Each
 query runs its operator over all rated pairs with the main run's settings
-and returns the output's keys with what was checked of each: lengths, order,
-and values recomputed from the factors. ``RAW`` has the outputs themselves.
+and returns the output's keys with what was checked of each. Lists must hold the
+top n of the full product of the factors: the list of Spark ML's blocked product
+and that of the bounded one are told apart by how they are found only, so the
+score of every listed id, recomputed from the factors, must be the one the
+other way found at its rank. ``RAW`` has the outputs themselves.
 """
 
 from __future__ import annotations
@@ -12,7 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators import evaluate as E, model as M, ratings as R, serve as V
 from ..operators.similarity import cosine
-from ..session import scratch_path
+from ..session import cut_lineage, scratch_path
 from ..sources import store as ST, tables as T
 from .evaluation_q import SPLIT
 from .oracle import RATING_EVENTS, RATINGS_BASE, with_
@@ -37,11 +40,34 @@ def _fit(spark, d):
     return M.als_fit(als_input(spark, d), seed=SEED)
 
 
-def _descending(recs: DataFrame, key: str) -> DataFrame:
-    """(key, n_ids, descending): length of each list, and whether its scores fall."""
-    score = F.col("recommendations.rating")
-    return recs.select(F.col(key).alias("id"), F.size("recommendations").alias("n_ids"),
-                       (F.sort_array(score, False) == score).alias("descending"))
+TOLERANCE = 1e-4  # of the score: Spark ML multiplies in single precision
+
+
+def _dot(a: str, b: str):
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y), F.lit(0.0), lambda s, v: s + v)
+
+
+def _tops(lists: DataFrame, other: DataFrame, keys: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, n_ids, is_top) of ``lists`` (id, ids): its distinct ids, and whether the product of the factors ``keys`` and
+    ``ids`` at every rank is the score that ``other`` (id, scores) has there."""
+    listed = lists.select("id", F.size("ids").alias("n"), F.posexplode("ids").alias("at", "other_id"))
+    scored = (listed.join(keys.select("id", F.col("features").alias("x")), "id")
+              .join(ids.select(F.col("id").alias("other_id"), F.col("features").alias("y")), "other_id")
+              .join(other, "id").withColumn("want", F.get("scores", "at").cast("double")))
+    fits = F.abs(_dot("x", "y") - F.col("want")) <= TOLERANCE * F.greatest(F.abs("want"), F.lit(1.0))
+    return scored.groupBy(F.col("id").cast("bigint").alias("id")).agg(
+        F.count_distinct("other_id").cast("int").alias("n_ids"),
+        (F.bool_and(F.coalesce(fits, F.lit(False))) & (F.count(F.lit(1)) == F.max("n"))
+         & (F.max("n") == F.max(F.size("scores")))).alias("is_top"))
+
+
+def _scores(recs: DataFrame, key: str) -> DataFrame:
+    return recs.select(F.col(key).alias("id"), F.col("recommendations.rating").alias("scores"))
+
+
+def _user_tops(model, lists: DataFrame, n: int, users: DataFrame | None = None, bounds: bool = True) -> DataFrame:
+    """``lists`` (id, ids) of users against the scores found by the other way."""
+    return _tops(lists, _scores(M.als_recs(model, n, bounds, users), "userId"), model.userFactors, model.itemFactors)
 
 
 # --- the outputs themselves -------------------------------------------------------------------------------
@@ -102,39 +128,47 @@ def q_als_predict(spark, d):
 
 
 @query("als_user_recs", with_(RATED) + f"""
-SELECT DISTINCT user_id, CAST(least({M.USER_RECS}, items) AS INT) AS n_ids, true AS descending FROM rated, n""")
+SELECT DISTINCT user_id, CAST(least({M.USER_RECS}, items) AS INT) AS n_ids, true AS is_top FROM rated, n""")
 def q_als_user_recs(spark, d):
     model = _fit(spark, d)
-    ids = M.als_user_recs(model).select(F.col("user_id").alias("id"), F.size(F.array_distinct("item_ids")).alias("n_ids"))
-    order = _descending(model.recommendForAllUsers(M.USER_RECS), "userId").select("id", "descending")
-    return ids.join(order, "id").select(F.col("id").cast("bigint").alias("user_id"), "n_ids", "descending")
+    lists = M.als_user_recs(model).select(F.col("user_id").alias("id"), F.col("item_ids").alias("ids"))
+    return _user_tops(model, lists, M.USER_RECS).withColumnRenamed("id", "user_id")
+
+
+@query("als_user_recs_bounds", with_(RATED) + f"""
+SELECT DISTINCT user_id, CAST(least({M.USER_RECS}, items) AS INT) AS n_ids, true AS is_top FROM rated, n""")
+def q_als_user_recs_bounds(spark, d):
+    model = _fit(spark, d)
+    lists = M.als_user_recs(model, bounds=True).select(F.col("user_id").alias("id"), F.col("item_ids").alias("ids"))
+    return _user_tops(model, lists, M.USER_RECS, bounds=False).withColumnRenamed("id", "user_id")
 
 
 @query("rec_ids", with_(RATED) + f"""
-SELECT DISTINCT user_id, CAST(least({M.USER_RECS}, items) AS INT) AS n_ids, true AS best_first FROM rated, n""")
+SELECT DISTINCT user_id, CAST(least({M.USER_RECS}, items) AS INT) AS n_ids, true AS is_top FROM rated, n""")
 def q_rec_ids(spark, d):
-    recs = _fit(spark, d).recommendForAllUsers(M.USER_RECS)
-    best = recs.select("userId", F.col("recommendations")[0]["movieId"].alias("best"))
-    return M.rec_ids(recs).join(best, "userId").select(
-        F.col("userId").cast("bigint").alias("user_id"), F.size("item_ids").alias("n_ids"),
-        (F.col("item_ids")[0] == F.col("best")).alias("best_first"))
+    model = _fit(spark, d)
+    lists = M.rec_ids(M.als_recs(model)).select(F.col("userId").alias("id"), F.col("item_ids").alias("ids"))
+    return _user_tops(model, lists, M.USER_RECS).withColumnRenamed("id", "user_id")
 
 
 @query("als_subset_recs", with_(SPLIT) + f"""
 SELECT DISTINCT user_id, CAST(least({M.USER_RECS}, (SELECT count(DISTINCT item_id) FROM train)) AS INT) AS n_ids,
-       true AS descending
+       true AS is_top
 FROM test WHERE user_id IN (SELECT user_id FROM train)""")
 def q_als_subset_recs(spark, d):
     train, test = R.split_ratings(als_input(spark, d), user_col="userId", item_col="movieId")
-    got = _descending(M.als_subset_recs(M.als_fit(train, seed=SEED), test, M.USER_RECS), "userId")
-    return got.select(F.col("id").cast("bigint").alias("user_id"), "n_ids", "descending")
+    model = M.als_fit(train, seed=SEED)
+    lists = M.rec_ids(M.als_subset_recs(model, test, M.USER_RECS), out="ids").withColumnRenamed("userId", "id")
+    return _user_tops(model, lists, M.USER_RECS, test).withColumnRenamed("id", "user_id")
 
 
 @query("als_item_audience", with_(RATED) + f"""
-SELECT DISTINCT item_id, CAST(least({M.USER_RECS}, users) AS INT) AS n_ids FROM rated, n""")
+SELECT DISTINCT item_id, CAST(least({M.USER_RECS}, users) AS INT) AS n_ids, true AS is_top FROM rated, n""")
 def q_als_item_audience(spark, d):
-    return M.als_item_audience(_fit(spark, d)).select(
-        F.col("item_id").cast("bigint").alias("item_id"), F.size(F.array_distinct("user_ids")).alias("n_ids"))
+    model = _fit(spark, d)
+    lists = M.als_item_audience(model).select(F.col("item_id").alias("id"), F.col("user_ids").alias("ids"))
+    other = _scores(M.als_item_recs(model, bounds=True), "movieId")
+    return _tops(lists, other, model.itemFactors, model.userFactors).withColumnRenamed("id", "item_id")
 
 
 @query("als_similar_items", with_(RATED) + f"""
@@ -164,38 +198,62 @@ def q_build_rec_lists(spark, d):
 @query("als_precision_recall", with_(SPLIT) + f"""
 , u AS (SELECT user_id, count(*) AS n FROM test WHERE user_id IN (SELECT user_id FROM train) GROUP BY user_id)
 SELECT k, CAST((SELECT count(*) FROM u) * least(k, (SELECT count(DISTINCT item_id) FROM train)) AS BIGINT) AS n_rec,
-       CAST((SELECT sum(n) FROM u) AS BIGINT) AS n_test, true AS consistent
+       CAST((SELECT sum(n) FROM u) AS BIGINT) AS n_test, true AS recounted
 FROM (SELECT unnest({list(E.K_GRID)}) AS k)""")
 def q_als_precision_recall(spark, d):
-    return als_precision_recall(spark, d).select(
+    # The hits again, by another path: the place of each test item in its user's list.
+    train, test = R.split_ratings(als_input(spark, d), user_col="userId", item_col="movieId")
+    lists = M.rec_ids(M.als_subset_recs(M.als_fit(train, M.EVAL_RANK, SEED), test, max(E.K_GRID)))
+    at = test.join(lists, "userId").select(F.array_position("item_ids", F.col("movieId")).alias("at")).where("at > 0")
+    again = at.agg(*[F.count_if(F.col("at") <= k).alias(str(k)) for k in E.K_GRID]).select(
+        F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(str(k)).alias("again")) for k in E.K_GRID])).alias("r"))
+    return als_precision_recall(spark, d).join(again.select("r.*"), "k").select(
         "k", "n_rec", "n_test",
-        ((F.abs(F.col("precision") * F.col("n_rec") / 100 - F.col("hits")) < 1e-6)
-         & (F.abs(F.col("recall") * F.col("n_test") / 100 - F.col("hits")) < 1e-6)
-         & (F.col("hits") <= F.least("n_rec", "n_test"))).alias("consistent"))
+        ((F.abs(F.col("precision") * F.col("n_rec") / 100 - F.col("again")) < 1e-6)
+         & (F.abs(F.col("recall") * F.col("n_test") / 100 - F.col("again")) < 1e-6)
+         & (F.col("hits") == F.col("again"))).alias("recounted"))
 
 
-@query("rank_grid", f"SELECT unnest({list(M.RANK_GRID)}) AS rank, true AS finite")
+@query("rank_grid", f"SELECT unnest({list(M.RANK_GRID)}) AS rank, true AS recomputed")
 def q_rank_grid(spark, d):
-    grid = M.rank_grid(als_input(spark, d), seed=SEED)
-    return grid.select("rank", (F.col("mse").isNotNull() & ~F.isnan("mse") & (F.col("mse") > 0)
-                                & (F.col("mse") < 1e6)).alias("finite"))
+    """The least rank's error is recomputed from the factors of its fits; the others must be finite."""
+    data, low = als_input(spark, d), min(M.RANK_GRID)
+    grid = M.rank_grid(data, seed=SEED)
+    again = None
+    fixed = cut_lineage(data)
+    for t in range(M.GRID_SPLITS):
+        train, test = fixed.randomSplit([0.8, 0.2], SEED + t)
+        model = M.als_fit(train, low, SEED + t)
+        rows = (test.join(model.userFactors.select(F.col("id").alias("userId"), F.col("features").alias("x")), "userId")
+                .join(model.itemFactors.select(F.col("id").alias("movieId"), F.col("features").alias("y")), "movieId"))
+        one = rows.agg(F.avg(F.pow(_dot("x", "y") - F.col("rating"), 2)).alias("mse"))
+        again = one if again is None else again.unionByName(one)
+    return grid.crossJoin(F.broadcast(again.agg(F.avg("mse").alias("again")))).select(  # one row
+        "rank", F.when(F.col("rank") == low, F.abs(F.col("mse") - F.col("again")) < 1e-3 * F.col("again")).otherwise(
+            F.col("mse").isNotNull() & ~F.isnan("mse") & (F.col("mse") > 0) & (F.col("mse") < 1e6)).alias("recomputed"))
 
 
 @query("best_rank", "SELECT true AS is_least, true AS in_grid")
 def q_best_rank(spark, d):
-    grid = M.rank_grid(als_input(spark, d), seed=SEED)
-    rows = grid.select("rank", "mse").persist()  # one row per rank
+    rows = M.rank_grid(als_input(spark, d), seed=SEED).select("rank", "mse").persist()  # one row per rank
     best = M.best_rank(rows).select(F.col("rank").alias("best"), F.col("mse").alias("least"))
-    return rows.join(F.broadcast(best), F.col("rank") == F.col("best")).select(
-        (F.col("mse") == F.col("least")).alias("is_least"), F.col("rank").isin(*M.RANK_GRID).alias("in_grid"))
+    first = rows.orderBy("mse", "rank").limit(1)
+    return best.crossJoin(first).select(  # one row each
+        ((F.col("best") == F.col("rank")) & (F.col("least") == F.col("mse"))).alias("is_least"),
+        F.col("best").isin(*M.RANK_GRID).alias("in_grid"))
 
 
 @query("top_titles", with_(RATED) + f"""
-SELECT DISTINCT user_id, least({TITLES}, items) AS n_titles, true AS titled FROM rated, n""")
+SELECT DISTINCT user_id, least({TITLES}, items) AS n_titles, true AS titled, true AS is_top FROM rated, n""")
 def q_top_titles(spark, d):
     names = T.items_table(spark, d).select("item_id", F.col("name").alias("stored"))
-    return top_titles(spark, d).join(names, "item_id").groupBy(F.col("user_id").cast("bigint").alias("user_id")).agg(
+    got = top_titles(spark, d)
+    titles = got.join(names, "item_id").groupBy(F.col("user_id").cast("bigint").alias("user_id")).agg(
         F.count(F.lit(1)).alias("n_titles"), F.bool_and(F.col("title").eqNullSafe(F.col("stored"))).alias("titled"))
+    lists = got.groupBy(F.col("user_id").alias("id")).agg(
+        F.array_sort(F.collect_list(F.struct("pos", "item_id")))["item_id"].alias("ids"))  # TITLES at most
+    tops = _user_tops(_fit(spark, d), lists, TITLES).select(F.col("id").alias("user_id"), "is_top")
+    return titles.join(tops, "user_id")
 
 
 @query("refresh_rec_lists", with_(RATINGS_BASE, RATING_EVENTS, OLD_U, OLD_I) + f"""

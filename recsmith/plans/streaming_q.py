@@ -1,7 +1,8 @@
-"""Registered query: streaming page ingest (L1) over the pages table file."""
+"""Registered query: streaming page ingest (L1) over the files of the pages table."""
 
 from __future__ import annotations
 
+from ..sources import tables as T
 from ..streaming import ingest as L
 from .registry import query
 
@@ -14,5 +15,6 @@ it AS (SELECT trim(regexp_extract(block, 'href="([^"]*)"', 1)) AS item_url,
               trim(regexp_extract(block, '<a href="[^"]*">([^<]*)</a>', 1)) AS title FROM blk)
 SELECT item_url, min(title) AS title FROM it WHERE item_url <> '' GROUP BY item_url""")
 def q_stream_ingest_pages(spark, d):
-    target = L.stream_ingest_pages(spark, d, extract=L.nav_items, key_cols=("item_url",), glob="pages.parquet")
-    return spark.read.parquet(target).select("item_url", "title")
+    folder, names = L.table_files(spark, T.table_path(d, "pages"))
+    target = L.stream_ingest_pages(spark, folder, extract=L.nav_items, key_cols=("item_url",), glob=names)
+    return L.stored_rows(spark, target, "item_url string, title string")

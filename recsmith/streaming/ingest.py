@@ -31,13 +31,27 @@ BUCKETS = 256
 BUCKET = "_bucket"
 
 
-def _stored(spark: SparkSession, target: str, like: DataFrame) -> DataFrame:
+def _located(spark: SparkSession, place: str):
+    """The Hadoop path and its file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(place)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def stored_rows(spark: SparkSession, target: str, schema: T.StructType | str) -> DataFrame:
     """The stored rows; none if the folder is not there yet. Any other
-    failure to read them is the batch's failure."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(target)
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-        return spark.createDataFrame([], like.schema)
-    return spark.read.schema(like.schema).parquet(target)
+    failure to read them is the caller's failure."""
+    path, fs = _located(spark, target)
+    if not fs.exists(path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(target)
+
+
+def table_files(spark: SparkSession, table: str) -> tuple[str, str]:
+    """(folder, file name pattern) of a table that is one file or a folder of files."""
+    path, fs = _located(spark, table)
+    if fs.getFileStatus(path).isDirectory():
+        return table, "*"
+    return path.getParent().toString(), path.getName()
 
 
 def ingest_batch(batch: DataFrame, target: str, extract: Callable[[DataFrame], DataFrame], key_cols) -> None:
@@ -53,7 +67,7 @@ def ingest_batch(batch: DataFrame, target: str, extract: Callable[[DataFrame], D
     rows = rows.persist()
     try:
         buckets = [r[0] for r in rows.select(BUCKET).distinct().collect()]  # BUCKETS numbers at most
-        stored = _stored(spark, target, rows).where(F.col(BUCKET).isin(buckets))
+        stored = stored_rows(spark, target, rows.schema).where(F.col(BUCKET).isin(buckets))
         fresh = rows.join(stored.select(BUCKET, *keys), [BUCKET, *keys], "left_anti")
         fresh.repartition(BUCKET).write.partitionBy(BUCKET).mode("append").parquet(target)
     finally:

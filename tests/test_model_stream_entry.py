@@ -126,3 +126,20 @@ def test_stream_ingest_across_micro_batches(spark, tmp_path):
     assert out.groupBy("item_url").count().filter("count > 1").count() == 0
     whole = L.nav_items(spark.read.parquet(f"{SF}/pages.parquet")).select("item_url").distinct().count()
     assert out.count() == whole
+
+
+def test_stream_ingest_query_reads_a_file_a_folder_and_no_rows(spark, tmp_path):
+    from recsmith.plans import streaming_q
+    table = pq.read_table(f"{SF}/pages.parquet")
+    third = table.num_rows // 3
+    for name, parts in (("file", None), ("folder", [(0, third), (third, third), (2 * third, None)]), ("empty", [(0, 0)])):
+        (tmp_path / name).mkdir()
+        if parts is None:
+            pq.write_table(table, tmp_path / name / "pages.parquet")
+        else:
+            (tmp_path / name / "pages.parquet").mkdir()
+            for i, (at, n) in enumerate(parts):
+                pq.write_table(table.slice(at, n), tmp_path / name / "pages.parquet" / f"part-{i}.parquet")
+    got = {n: sorted(map(tuple, streaming_q.q_stream_ingest_pages(spark, str(tmp_path / n)).collect()))
+           for n in ("file", "folder", "empty")}
+    assert got["file"] and got["folder"] == got["file"] and got["empty"] == []

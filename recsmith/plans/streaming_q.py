@@ -17,4 +17,4 @@ SELECT item_url, min(title) AS title FROM it WHERE item_url <> '' GROUP BY item_
 def q_stream_ingest_pages(spark, d):
     folder, names = L.table_files(spark, T.table_path(d, "pages"))
     target = L.stream_ingest_pages(spark, folder, extract=L.nav_items, key_cols=("item_url",), glob=names)
-    return L.stored_rows(spark, target, "item_url string, title string")
+    return L.stored_rows(spark, target, "item_url string, title string").select("item_url", "title")

@@ -140,6 +140,7 @@ def test_stream_ingest_query_reads_a_file_a_folder_and_no_rows(spark, tmp_path):
             (tmp_path / name / "pages.parquet").mkdir()
             for i, (at, n) in enumerate(parts):
                 pq.write_table(table.slice(at, n), tmp_path / name / "pages.parquet" / f"part-{i}.parquet")
-    got = {n: sorted(map(tuple, streaming_q.q_stream_ingest_pages(spark, str(tmp_path / n)).collect()))
-           for n in ("file", "folder", "empty")}
+    found = {n: streaming_q.q_stream_ingest_pages(spark, str(tmp_path / n)) for n in ("file", "folder", "empty")}
+    assert all(df.columns == ["item_url", "title"] for df in found.values())
+    got = {n: sorted(map(tuple, df.collect())) for n, df in found.items()}
     assert got["file"] and got["folder"] == got["file"] and got["empty"] == []

@@ -220,3 +220,20 @@ def test_language_model_without_training(spark, table_of):
     folder = lm.shared_folder(spark)
     got = lm.score(docs, folder, lm.build(docs.where("doc_id < 0"), folder)).collect()
     assert {(r.score, r.n_known, r.train_tokens) for r in got} == {(0.0, 0, 0)}
+
+
+def test_lm_pairs_come_back_and_are_small():
+    rng = np.random.default_rng(5)
+    words = rng.integers(0, 1 << 63, 300, np.uint64)
+    for x, rising in ((np.sort(words), True), (words, False), (np.ones(9, np.uint32), False), (np.array([1 << 40, 3]), False),
+                      (np.empty(0, np.uint64), True)):
+        assert np.array_equal(lm.unsqueezed(lm.squeezed(x, rising), x.dtype), x)
+    tokens = words[np.minimum(rng.geometric(0.02, 20_000), 300) - 1]
+    before = lm.words_before(tokens, np.array([15_000, 1, 4_999]), 3)
+    u = lm.hashed(before)[-1]
+    key, at, c = lm.summed(lm.pair_keys(u, tokens, np.empty(0, np.uint64)), np.ones(len(u), np.uint32))
+    rows = lm.packed(key, u[at], [x[at] for x in before], tokens[at], lm.edges(3), c.astype(np.uint32))
+    back = [np.concatenate(x) for x in zip(*(lm.unpacked(*r[1:4]) for r in rows))]
+    got = set(zip(*(x.tolist() for x in (*back, np.concatenate([lm.unsqueezed(r[4], np.uint32) for r in rows])))))
+    assert got == set(zip(*(x.tolist() for x in (*(x[at] for x in before), tokens[at], c))))
+    assert sum(len(x) for r in rows for x in r[1:]) < 10 * len(at)  # 28 bytes a pair before

@@ -108,3 +108,29 @@ def test_text_and_attributes_equal_an_html_parser(spark):
     row = spark.createDataFrame([(tag,)], "t string").select(
         *[H.attribute(F.col("t"), n).alias(n) for n in ("href", "title", "empty", "none")]).first()
     assert tuple(row) == ("u?a=1&b=2", "plain", "", None)
+
+
+def test_elements_by_pattern_equal_the_fold(spark):
+    """What the pattern finds is what the fold over the tags finds, and it is the pattern that finds it in plain pages."""
+    import random
+
+    rnd = random.Random(5)
+    names = ["div", "DIV", "p", "img", "a", "dé", "DÉ"]
+    bits = ["<{n}>", "<{n} class='item'>", '<{n} class="x item y">', "<{n}\nclass = item >", "</{n}>", "</{n} >", "<{n}/>",
+            "<{n} class='item'/>", "<{n} title='a/>b' class=item>", "text", " < 5 ", "<{n} title=\"<p class='item'>\">",
+            "<{n} items=item>", "</{n}>", "</ div>", "é", "<3", "</"]
+    odd = ["<div class='item", '<a "', ">", '"', "\x01"]
+    htmls = [None, "", "item"] + ["<div class=item>" + "<div>x" * k + "</div>" * (k - 1) + "<p class=item>y</p>" for k in range(1, 13)]
+    for i in range(1500):
+        few = rnd.sample(names, rnd.choice([1, 2, 3]))
+        htmls.append("".join(rnd.choice(bits + odd * (i % 3 == 0)).replace("{n}", rnd.choice(few))
+                             for _ in range(rnd.choice([3, 8, 20, 60]))))
+    html, opening = F.col("html"), H.with_class("item")
+    folded = F.transform(H.elements(H.stream(html), opening, "item"), H.html_of)
+    df = pages(spark, *htmls).select("html", folded.alias("folded"), H.of_class(html, "item").alias("got"))
+    assert df.where(~F.col("got").eqNullSafe(F.col("folded"))).collect() == []
+    assert df.where("size(got) > 1").count() > 300
+
+    # One pass of the pattern over a plain page leaves what is behind its last element.
+    behind = F.regexp_replace(html, rf"\G{H.LEAD}(?:(?!{opening}){H.TOKEN})*+{H._element(opening)}", "")
+    assert pages(spark, COLLECTION).select(behind).first()[0] == "</div></div>"

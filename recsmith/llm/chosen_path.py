@@ -143,10 +143,8 @@ def join_components(docs: DataFrame) -> DataFrame:
             comp = compared(comp, setunits.all_parts(large))
             break
         below = stored(children(large, some.select("fp", "tokens"), depth), "nodes")
-        now = setunits.mixed(below, comp)
-        above = below.groupBy("node").agg(F.max("above").alias("above"))
-        now = stored(now.join(above, "node").withColumn("whole", (F.col("parts") > 1) & (2 * F.col("k") > F.col("above"))),
-                     "mixed")
+        whole = (F.col("parts") > 1) & (2 * F.col("k") > F.col("above"))
+        now = stored(setunits.mixed(below, comp, "above").withColumn("whole", whole), "mixed")
         comp = compared(comp, setunits.own_parts(now.where("NOT whole"), depth * TURNS).union(
             setunits.all_parts(now.where("whole"))))
         large = now.where("parts > 1 AND NOT whole")

@@ -248,16 +248,21 @@ def all_parts(rows: DataFrame) -> DataFrame:
                        (F.col("own") > F.col("other")).cast("int").alias("side"), "fp", "comp")
 
 
-def mixed(rows: DataFrame, comp: DataFrame | None) -> DataFrame:
-    """(node, fp, n, comp, k, parts): the rows of nodes that hold several components of ``comp(fp, comp)``."""
+def mixed(rows: DataFrame, comp: DataFrame | None, *also: str) -> DataFrame:
+    """(node, fp, n, comp, k, parts): the rows of nodes that hold several components of ``comp(fp, comp)``, with the
+    maxima of the columns ``also``. Rows of nodes of one part are only told from others: their k and maxima are null."""
     if comp is None:
-        rows = rows.select("node", "fp", "n", F.col("fp").alias("comp"))
+        rows = rows.select("node", "fp", "n", F.col("fp").alias("comp"), *also)
     else:
-        rows = rows.select("node", "fp", "n").join(comp, "fp", "left").select(
-            "node", "fp", "n", F.coalesce("comp", "fp").alias("comp"))
+        rows = rows.select("node", "fp", "n", *also).join(comp, "fp", "left").select(
+            "node", "fp", "n", F.coalesce("comp", "fp").alias("comp"), *also)
     nodes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("s"), F.min("comp").alias("c0"),
-                                     F.max("comp").alias("c1")).where("c0 <> c1")
-    return rows.join(nodes.select("node", "k", parts(F.col("k"), F.col("s")).alias("parts")), "node")
+                                     F.max("comp").alias("c1"), *(F.max(c).alias(c) for c in also)).where("c0 <> c1")
+    nodes = nodes.select("node", "k", parts(F.col("k"), F.col("s")).alias("parts"), *also)
+    rows = rows.select("node", "fp", "n", "comp")
+    large = rows.join(nodes.where("parts > 1"), "node")
+    small = rows.join(nodes.where("parts <= 1"), "node", "left_semi")
+    return large.unionByName(small.withColumn("parts", F.lit(1)), allowMissingColumns=True)
 
 
 def merged(comp: DataFrame | None, found: DataFrame) -> DataFrame:

@@ -115,7 +115,7 @@ def join_components(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept."""
     sets = stored(read_sets(docs), "sets")
     names = sets.groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.min("key").alias("key"))
-    now = stored(setunits.mixed(stored(first_nodes(sets), "nodes"), None), "mixed")
+    now = stored(setunits.mixed(stored(first_nodes(sets), "nodes"), None, apart=True), "mixed")
     found = stored(setunits.candidates(setunits.own_parts(now, 0), known(sets, now).drop("tokens"), PERCENT), "candidates")
     wanted = found.select("fp").union(now.where("parts > 1").select("fp")).distinct()
     full = stored(full_sets(docs, names.select("key", "fp").join(wanted, "fp", "left_semi"), NGRAM), "members")
@@ -127,7 +127,7 @@ def join_components(docs: DataFrame) -> DataFrame:
 
     large = now.where("parts > 1")
     for depth in range(1, DEPTH + 1):
-        large, left = stored(setunits.mixed(large, comp), "mixed"), None
+        large, left = stored(setunits.mixed(large, comp, apart=True), "mixed"), None
         if large.isEmpty():
             break
         some = stored(known(sets, large), "known")  # the rest of the search is among these
@@ -136,7 +136,7 @@ def join_components(docs: DataFrame) -> DataFrame:
             if not left or (before and 2 * left > before):
                 break
             comp = compared(comp, setunits.own_parts(large, depth * TURNS + turn))
-            large = stored(setunits.mixed(large, comp), "mixed")
+            large = stored(setunits.mixed(large, comp, apart=True), "mixed")
         if large.isEmpty():
             break
         if depth == DEPTH:
@@ -144,7 +144,7 @@ def join_components(docs: DataFrame) -> DataFrame:
             break
         below = stored(children(large, some.select("fp", "tokens"), depth), "nodes")
         whole = (F.col("parts") > 1) & (2 * F.col("k") > F.col("above"))
-        now = stored(setunits.mixed(below, comp, "above").withColumn("whole", whole), "mixed")
+        now = stored(setunits.mixed(below, comp, "above", apart=True).withColumn("whole", whole), "mixed")
         comp = compared(comp, setunits.own_parts(now.where("NOT whole"), depth * TURNS).union(
             setunits.all_parts(now.where("whole"))))
         large = now.where("parts > 1 AND NOT whole")

@@ -248,9 +248,10 @@ def all_parts(rows: DataFrame) -> DataFrame:
                        (F.col("own") > F.col("other")).cast("int").alias("side"), "fp", "comp")
 
 
-def mixed(rows: DataFrame, comp: DataFrame | None, *also: str) -> DataFrame:
+def mixed(rows: DataFrame, comp: DataFrame | None, *also: str, apart: bool = False) -> DataFrame:
     """(node, fp, n, comp, k, parts): the rows of nodes that hold several components of ``comp(fp, comp)``, with the
-    maxima of the columns ``also``. Rows of nodes of one part are only told from others: their k and maxima are null."""
+    maxima of the columns ``also``. With ``apart``, rows of nodes of one part are only told from others, without a join
+    that makes rows: their k and maxima are null."""
     if comp is None:
         rows = rows.select("node", "fp", "n", F.col("fp").alias("comp"), *also)
     else:
@@ -260,6 +261,8 @@ def mixed(rows: DataFrame, comp: DataFrame | None, *also: str) -> DataFrame:
                                      F.max("comp").alias("c1"), *(F.max(c).alias(c) for c in also)).where("c0 <> c1")
     nodes = nodes.select("node", "k", parts(F.col("k"), F.col("s")).alias("parts"), *also)
     rows = rows.select("node", "fp", "n", "comp")
+    if not apart:
+        return rows.join(nodes, "node")
     large = rows.join(nodes.where("parts > 1"), "node")
     small = rows.join(nodes.where("parts <= 1"), "node", "left_semi")
     return large.unionByName(small.withColumn("parts", F.lit(1)), allowMissingColumns=True)

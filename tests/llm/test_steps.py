@@ -30,6 +30,6 @@ def test_rows_of_mixed_nodes(spark, monkeypatch):
     rows = spark.createDataFrame([(1, f, 5, 9 + f) for f in (1, 2, 3)] + [(2, f, 5, 8) for f in (4, 5)]
                                  + [(3, f, 5, 8) for f in (1, 2)], "node long, fp long, n long, above long")
     comp = spark.createDataFrame([(1, 1), (2, 1)], "fp long, comp long")
-    got = {(r.node, r.fp, r.comp, r.k, r.parts, r.above) for r in setunits.mixed(rows, comp, "above").collect()}
+    got = {(r.node, r.fp, r.comp, r.k, r.parts, r.above) for r in setunits.mixed(rows, comp, "above", apart=True).collect()}
     assert got == {(1, 1, 1, 3, 2, 12), (1, 2, 1, 3, 2, 12), (1, 3, 3, 3, 2, 12), (2, 4, 4, None, 1, None),
                    (2, 5, 5, None, 1, None)}

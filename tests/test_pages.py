@@ -2,6 +2,9 @@ from pyspark.sql import functions as F
 
 from recsmith.functions import markup as H
 from recsmith.operators import pages as P
+from recsmith.sources import markup as M
+
+SF_SMALL = "/root/testdata/sf0.001"
 
 COLLECTION = (
     '<div class="article">'
@@ -134,3 +137,18 @@ def test_elements_by_pattern_equal_the_fold(spark):
     # One pass of the pattern over a plain page leaves what is behind its last element.
     behind = F.regexp_replace(html, rf"\G{H.LEAD}(?:(?!{opening}){H.TOKEN})*+{H._element(opening)}", "")
     assert pages(spark, COLLECTION).select(behind).first()[0] == "</div></div>"
+
+
+def test_pages_are_dealt_over_the_cores(spark):
+    for pages in (M.collection_pages(spark, SF_SMALL), M.collection_pages(spark, SF_SMALL, owner=True),
+                  M.comment_pages(spark, SF_SMALL)):
+        rows = pages.groupBy(F.spark_partition_id()).count().collect()
+        assert len(rows) >= spark.sparkContext.defaultParallelism  # one split of the scan held all of them
+        assert max(r["count"] for r in rows) < 2 * sum(r["count"] for r in rows) / len(rows)
+
+
+def test_attribute_is_the_first_of_its_name(spark):
+    want = {'<a x="1" TITLE=\'a "b"\' title=c>': 'a "b"', '<a data-title="x" title = b>': "b", '<a title="">': "",
+            '<a alt="title=x" href=y>': None, "<a =title='t'>": None, "": None}
+    df = spark.createDataFrame([(t,) for t in want], "tag string")
+    assert {r["tag"]: r["got"] for r in df.select("tag", H.attribute(F.col("tag"), "title").alias("got")).collect()} == want
